@@ -140,7 +140,9 @@ class TrainingConfig:
     lr_max_iter: int = 5000
     # svm by random Fourier features
     rff_dim: int = 64
-    svm_max_iter: int = 200
+    svm_max_iter: int = 100
+    svm_tol: float = 1e-4
+    svm_grid: dict = field(default_factory=lambda: {"C": (0.5, 2.0), "gamma": ("scale",)})  # full: SVM_GRID
     # mlp
     mlp_hidden: tuple[int, ...] = (256, 128, 64)
     mlp_chunk_iters: int = 10
@@ -148,3 +150,4 @@ class TrainingConfig:
     patience: int = 3  # chunks without improvement
     # knn
     knn_block_rows: int = 20000
+    knn_grid: dict = field(default_factory=lambda: dict(KNN_GRID))
