@@ -171,7 +171,7 @@ def interactions(spark, sf):
 
 _TICKET_GROUP_SQL = O.W(
     "tc AS (SELECT ticket, count(*) AS c FROM subjects WHERE ticket IS NOT NULL GROUP BY ticket)"
-) + """SELECT id, least(greatest(tc.c, 0), 4) AS ticket_group
+) + """SELECT id, CASE WHEN tc.c IS NOT NULL THEN least(greatest(tc.c, 0), 4) END AS ticket_group
 FROM subjects s LEFT JOIN tc ON s.ticket = tc.ticket"""
 
 

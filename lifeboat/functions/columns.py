@@ -35,8 +35,9 @@ def is_alone(fam: Column | str = "family_size") -> Column:
 
 
 def clip(c: Column | str, low: float, high: float) -> Column:
-    """``Series.clip(low, high)``; null stays null."""
-    return F.least(F.greatest(_col(c), F.lit(low)), F.lit(high))
+    """``Series.clip(low, high)``; null stays null (``greatest``/``least`` alone skip nulls)."""
+    c = _col(c)
+    return F.when(c.isNotNull(), F.least(F.greatest(c, F.lit(low)), F.lit(high)))
 
 
 def product(a: Column | str, b: Column | str) -> Column:

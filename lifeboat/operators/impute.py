@@ -113,7 +113,8 @@ def group_size(df: DataFrame, column: str, name: str, low=None, high=None) -> Da
         c = F.greatest(c, F.lit(low))
     if high is not None:
         c = F.least(c, F.lit(high))
-    return out.withColumn(name, c)
+    # greatest/least skip nulls; a null key keeps a null size
+    return out.withColumn(name, F.when(F.col(name).isNotNull(), c))
 
 
 def frequency_encode(df: DataFrame, column: str, name: str) -> DataFrame:

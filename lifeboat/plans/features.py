@@ -169,3 +169,14 @@ def prepare(labelled: DataFrame, unlabelled: DataFrame, feature_set: str,
         feats = encode.apply_scaler(feats, params)
     vec = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="error")
     return vec.transform(feats), names
+
+
+def prepare_numeric(df: DataFrame, numeric, categorical=()) -> tuple[DataFrame, list[str]]:
+    """Generic prepare for tables that are not passengers: category codes for
+    ``categorical``, nulls to 0.0, assembled ``features``."""
+    d = df
+    for c in categorical:
+        d = encode.category_codes(d, c)
+    names = list(numeric) + list(categorical)
+    d = _finish(d, names)
+    return VectorAssembler(inputCols=names, outputCol="features").transform(d), names
