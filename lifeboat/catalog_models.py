@@ -236,6 +236,13 @@ def submission_sink_q(spark, sf):
     return spark.read.schema("PassengerId BIGINT, Survived INT").option("header", True).csv(path)
 
 
+@query("sort_by_id", "SELECT doc_id AS PassengerId, quality AS Survived FROM labels ORDER BY doc_id")
+def sort_by_id_q(spark, sf):
+    """O1: predictions in ascending id order under the output header names."""
+    lab = B.table(spark, sf, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("prediction"))
+    return sinks.submission_frame(lab)
+
+
 _PASSENGER_OUT = {v: k for k, v in CSV.PASSENGER_HEADER.items()}
 
 

@@ -120,6 +120,7 @@ class TrainingConfig:
     rf_trees: int = 100  # reference: 1000 (opt-in)
     rf_max_depth: int = 12
     rf_min_instances: int = 6
+    tree_memory_mb: int = 1024  # per-pass node statistics; more nodes per pass over the data
     age_forest_trees: int = 50  # reference: 2000 (opt-in)
     age_forest_depth: int = 10
     # boosting (xgboost-like settings)
@@ -146,7 +147,7 @@ class TrainingConfig:
     # mlp
     mlp_hidden: tuple[int, ...] = (256, 128, 64)
     mlp_chunk_iters: int = 10
-    mlp_max_chunks: int = 25
+    mlp_max_chunks: int = 10
     patience: int = 3  # chunks without improvement
     # knn
     knn_block_rows: int = 20000

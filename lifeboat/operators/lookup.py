@@ -1,14 +1,14 @@
 """Attaching per-key statistics back to rows, with a checked broadcast.
 
 A statistics table (one row per key) is broadcast only after a bounded
-``limit(n + 1).collect()`` proves it has at most ``limit`` rows; the collected
-rows then travel as a local relation. Above the limit the table stays
-distributed and the join is a shuffle join (AQE may still pick a broadcast
-from runtime sizes, and splits skewed partitions).
+``limit(n + 1).count()`` proves it has at most ``limit`` rows. Above the limit
+the table stays distributed and the join is a shuffle join (AQE may still pick
+a broadcast from runtime sizes, and splits skewed partitions).
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,12 +22,17 @@ def bounded_rows(df: DataFrame, limit: int):
 
 
 def small_side(stats: DataFrame, limit: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``stats`` as a broadcast local relation when proven small, else unchanged."""
-    rows = bounded_rows(stats, limit)
-    if rows is None:
-        return stats
-    local = stats.sparkSession.createDataFrame(rows, stats.schema)
-    return F.broadcast(local)
+    """``stats`` marked for broadcast when proven small, else unchanged.
+
+    The statistics are persisted first, so the size check (a bounded count)
+    and the join read the same computed rows; nothing passes through Python.
+    Above the limit the join stays a shuffle join, where AQE splits skewed
+    partitions of the large side.
+    """
+    stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
+    if stats.limit(limit + 1).count() <= limit:
+        return F.broadcast(stats)
+    return stats
 
 
 def attach(df: DataFrame, stats: DataFrame, keys, limit: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

@@ -69,7 +69,7 @@ def impute_age_forest(df: DataFrame, inputs, trees: int = C.TrainingConfig.age_f
 # --- MLP set -----------------------------------------------------------------------
 
 def features_mlp(df: DataFrame) -> tuple[DataFrame, list[str]]:
-    d = df.withColumn("title", TX.title_regex("name"))
+    d = _materialize(df).withColumn("title", TX.title_regex("name"))
     d = d.withColumn("sex", X.is_female("sex"))
     d = impute.fill_mode(d, "embarked", default=C.EMBARKED_FALLBACK)
     d = impute.fill_median(d, "fare")
@@ -97,7 +97,7 @@ def _titles_tickets_decks(d: DataFrame) -> DataFrame:
 
 
 def features_rf(df: DataFrame, age_trees: int = C.TrainingConfig.age_forest_trees) -> tuple[DataFrame, list[str]]:
-    d = df.withColumn("embarked", F.coalesce(F.col("embarked"), F.lit(C.EMBARKED_FALLBACK)))
+    d = _materialize(df).withColumn("embarked", F.coalesce(F.col("embarked"), F.lit(C.EMBARKED_FALLBACK)))
     d = impute.fill_mean(d, "fare")
     d = _titles_tickets_decks(d)
     d = d.withColumn("title2", TX.title_rf("title1"))
@@ -113,7 +113,7 @@ def features_rf(df: DataFrame, age_trees: int = C.TrainingConfig.age_forest_tree
 # --- XGB set -----------------------------------------------------------------------
 
 def features_xgb(df: DataFrame, age_trees: int = C.TrainingConfig.age_forest_trees) -> tuple[DataFrame, list[str]]:
-    d = impute.fill_mode_by_group(df, "embarked", ["pclass"], default=C.EMBARKED_FALLBACK)
+    d = impute.fill_mode_by_group(_materialize(df), "embarked", ["pclass"], default=C.EMBARKED_FALLBACK)
     d = impute.fill_mean(d, "fare")
     d = _titles_tickets_decks(d)
     d = d.withColumn("title2", TX.title_xgb("title1"))
@@ -140,7 +140,10 @@ FEATURE_SETS = {"mlp": features_mlp, "rf": features_rf, "xgb": features_xgb}
 
 
 def _materialize(d: DataFrame) -> DataFrame:
-    """Persist an intermediate that several later fit steps scan (memory, then disk)."""
+    """Persist an intermediate that several later fit steps scan (memory, then disk).
+
+    Persisting an already persisted plan is a no-op, so builders call it freely.
+    """
     return d.persist(StorageLevel.MEMORY_AND_DISK)
 
 

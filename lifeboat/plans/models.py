@@ -35,6 +35,7 @@ from lifeboat import config as C
 from lifeboat.operators import knn as K
 from lifeboat.operators import metrics, split
 from lifeboat.operators import vectors as V
+from lifeboat.session import checkpoint_root
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -92,7 +93,9 @@ def fit_random_forest(train: DataFrame, cfg: C.TrainingConfig, seed: int) -> tup
     rf = RandomForestClassifier(
         featuresCol="features", labelCol="label", numTrees=cfg.rf_trees, maxDepth=cfg.rf_max_depth,
         minInstancesPerNode=cfg.rf_min_instances, impurity="gini", featureSubsetStrategy="sqrt",
-        subsamplingRate=1.0, bootstrap=True, seed=cfg.model_seed)
+        subsamplingRate=1.0, bootstrap=True, seed=cfg.model_seed,
+        maxMemoryInMB=cfg.tree_memory_mb, cacheNodeIds=True)
+    checkpoint_root(train.sparkSession)  # node-id cache checkpoints go to the shared folder
     model = rf.fit(train)
     return _ml_scorer(model), model, {"numTrees": cfg.rf_trees, "maxDepth": cfg.rf_max_depth}
 

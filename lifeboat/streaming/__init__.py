@@ -1 +1,6 @@
+"""Streaming: intentionally empty.
 
+The reference pipeline is a batch job over two files; it has no stream,
+watermark, window or state operator, so there is nothing to re-express with
+Structured Streaming here.
+"""
