@@ -74,18 +74,49 @@ def fill_median(df: DataFrame, column: str) -> DataFrame:
 
 # --- A4: grouped median ------------------------------------------------------
 
-def median_by_group(df: DataFrame, column: str, keys, approx: bool = False) -> DataFrame:
-    """(keys..., ``<column>_median``).
+HOT_GROUP_DISTINCT = 1_000_000
+HOT_GROUP_LIMIT = 1_000
 
-    Exact ``median`` partial-aggregates a value->count map per group, so its
-    memory follows the number of distinct values in a group (small for ages,
-    counts, prices on a grid); ``approx=True`` switches to a fixed-size sketch
-    for continuous columns.
+
+def median_by_group(df: DataFrame, column: str, keys, approx: bool = False,
+                    hot_distinct: int = HOT_GROUP_DISTINCT) -> DataFrame:
+    """(keys..., ``<column>_median``): exact per-group median (pandas rule).
+
+    Rows are first reduced to (keys, value, count) with map-side partial
+    aggregation, so a hot group costs one row per distinct value, not per row.
+    Groups with at most ``hot_distinct`` distinct values take the exact
+    weighted ``percentile`` of those rows (its buffer is bounded by that
+    number). The few groups above it (at most total distinct / hot_distinct)
+    are resolved one by one with the distributed order-statistics search, so
+    no task ever holds a hot group. ``approx=True`` uses a fixed-size sketch.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    agg = F.percentile_approx(column, 0.5, 10_000) if approx else F.median(column)
-    return (df.where(F.col(column).isNotNull() & ~F.isnan(column))
-            .groupBy(*keys).agg(agg.cast("double").alias(f"{column}_median")))
+    name = f"{column}_median"
+    clean = df.where(F.col(column).isNotNull() & ~F.isnan(column))
+    if approx:
+        return clean.groupBy(*keys).agg(F.percentile_approx(column, 0.5, 10_000).cast("double").alias(name))
+    counts = clean.groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_d"))
+    hot = [r for r in sizes.where(F.col("_d") > hot_distinct).limit(HOT_GROUP_LIMIT + 1).collect()]
+    if len(hot) > HOT_GROUP_LIMIT:
+        raise ValueError(f"{column}: more than {HOT_GROUP_LIMIT} groups above {hot_distinct} distinct values")
+    normal = counts
+    for r in hot:
+        normal = normal.where(~_key_match(keys, r))
+    out = normal.groupBy(*keys).agg(
+        F.percentile(F.col(column).cast("double"), F.lit(0.5), F.col("_n")).cast("double").alias(name))
+    if not hot:
+        return out
+    spark = df.sparkSession
+    rows = [tuple(r[k] for k in keys) + (quantile.median(clean.where(_key_match(keys, r)), column),) for r in hot]
+    return out.unionByName(spark.createDataFrame(rows, out.schema))
+
+
+def _key_match(keys, row) -> Column:
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & (F.col(k).eqNullSafe(F.lit(row[k])))
+    return cond
 
 
 def fill_median_by_group(df: DataFrame, column: str, keys, approx: bool = False) -> DataFrame:

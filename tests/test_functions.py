@@ -168,3 +168,12 @@ def test_soft_vote_half_is_zero(spark):
     assert out == {1: 0, 2: 1}
     with pytest.raises(RuntimeError):
         soft_vote([])
+
+
+def test_group_median_hot_group_path(spark):
+    # a tiny hot threshold sends group "a" through the distributed order-statistics search
+    rows = [(i, "a", float(v)) for i, v in enumerate([5, 1, 4, 2, 3, 3])] + [(10, "b", 7.0), (11, "b", 9.0)]
+    d = spark.createDataFrame(rows, "i INT, g STRING, x DOUBLE")
+    hot = {r["g"]: r["x_median"] for r in impute.median_by_group(d, "x", ["g"], hot_distinct=2).collect()}
+    cold = {r["g"]: r["x_median"] for r in impute.median_by_group(d, "x", ["g"]).collect()}
+    assert hot == cold == {"a": 3.0, "b": 8.0}
