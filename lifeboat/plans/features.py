@@ -21,6 +21,7 @@ from lifeboat import config as C
 from lifeboat.functions import columns as X
 from lifeboat.functions import text as TX
 from lifeboat.operators import binning, encode, impute
+from lifeboat.operators.layout import spread
 
 KEYS = ("id", "label", "is_train")
 
@@ -56,11 +57,13 @@ def impute_age_forest(df: DataFrame, inputs, trees: int = C.TrainingConfig.age_f
         return d.select("*", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_in_{c}")
                                for c in inputs])
 
-    train = vec.transform(with_inputs(trimmed)).select("_age_x", "age")
+    train = vec.transform(with_inputs(trimmed)).select("id", "_age_x", "age")
+    train = spread(train, known.count()).persist(StorageLevel.MEMORY_AND_DISK)
     rf = RandomForestRegressor(featuresCol="_age_x", labelCol="age", predictionCol="_age_hat",
                                numTrees=trees, maxDepth=depth, seed=seed, subsamplingRate=1.0,
                                featureSubsetStrategy="onethird")
     model = rf.fit(train)
+    train.unpersist()
     scored = model.transform(vec.transform(with_inputs(df)))
     drop = ["_age_x", "_age_hat"] + [f"_in_{c}" for c in inputs]
     return scored.withColumn("age", F.coalesce(F.col("age"), F.col("_age_hat"))).drop(*drop)

@@ -35,6 +35,7 @@ from lifeboat import config as C
 from lifeboat.operators import knn as K
 from lifeboat.operators import metrics, split
 from lifeboat.operators import vectors as V
+from lifeboat.operators.layout import spread
 from lifeboat.session import checkpoint_root
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -71,6 +72,7 @@ def _ml_scorer(model, prep: Callable[[DataFrame], DataFrame] | None = None) -> S
 def split_labelled(data: DataFrame, seed: int, ratio: float) -> tuple[DataFrame, DataFrame]:
     """V1 on the labelled rows: (train, validation), persisted for the fit's many scans."""
     lab = data.where(F.col("is_train")).select("id", F.col("label").cast("double").alias("label"), "features")
+    lab = spread(lab, lab.count())
     sp = split.stratified_split(lab, seed=seed, ratio=ratio).persist(StorageLevel.MEMORY_AND_DISK)
     return sp.where(F.col("is_val") == 0).drop("is_val"), sp.where(F.col("is_val") == 1).drop("is_val")
 
