@@ -14,6 +14,7 @@ as array expressions) and exact nearest neighbours (``operators.knn``).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Callable
 
@@ -217,25 +218,40 @@ def _fit_svm_once(train: DataFrame, c: float, gamma, cfg: C.TrainingConfig, seed
     return score, {"svm": svm, "platt": platt}, {"C": c, "gamma": g}
 
 
-def _cv_accuracy(train: DataFrame, folds: int, seed: int, fit_one) -> float:
-    folded = split.stratified_folds(train, seed=seed, folds=folds).persist(StorageLevel.MEMORY_AND_DISK)
-    accs = []
-    for f in range(folds):
-        tr = folded.where(F.col("fold") != f).drop("fold")
-        te = folded.where(F.col("fold") == f).drop("fold")
-        scorer = fit_one(tr)
-        accs.append(validate(scorer, te)[0])
-    folded.unpersist()
-    return sum(accs) / len(accs)
+def run_parallel(tasks, parallelism: int) -> list:
+    """Run independent fit/evaluate closures on a thread pool, results in order.
+
+    Each closure submits its own Spark jobs; running a few at once keeps the
+    cluster busy during the small, sequential steps of every fit (the same
+    knob as ``CrossValidator(parallelism=...)``).
+    """
+    if parallelism <= 1 or len(tasks) <= 1:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(tasks))) as pool:
+        return list(pool.map(lambda t: t(), tasks))
+
+
+def _cv_fold_tasks(folded: DataFrame, folds: int, fit_one):
+    def task(f):
+        def run():
+            tr = folded.where(F.col("fold") != f).drop("fold")
+            te = folded.where(F.col("fold") == f).drop("fold")
+            return validate(fit_one(tr), te)[0]
+        return run
+    return [task(f) for f in range(folds)]
 
 
 def fit_svm(train: DataFrame, cfg: C.TrainingConfig, seed: int):
     grid = [(c, g) for c in cfg.svm_grid["C"] for g in cfg.svm_grid["gamma"]]
-    search = []
+    folded = split.stratified_folds(train, seed=seed, folds=cfg.cv_folds).persist(StorageLevel.MEMORY_AND_DISK)
+    tasks = []
     for c, g in grid:
-        acc = _cv_accuracy(train, cfg.cv_folds, seed,
-                           lambda tr, c=c, g=g: _fit_svm_once(tr, c, g, cfg, seed)[0])
-        search.append(({"C": c, "gamma": g}, acc))
+        tasks += _cv_fold_tasks(folded, cfg.cv_folds,
+                                lambda tr, c=c, g=g: _fit_svm_once(tr, c, g, cfg, seed)[0])
+    accs = run_parallel(tasks, cfg.cv_parallelism)
+    folded.unpersist()
+    search = [({"C": c, "gamma": g}, sum(accs[i * cfg.cv_folds:(i + 1) * cfg.cv_folds]) / cfg.cv_folds)
+              for i, (c, g) in enumerate(grid)]
     best = max(enumerate(search), key=lambda t: (t[1][1], -t[0]))[1][0]
     scorer, model, params = _fit_svm_once(train, best["C"], best["gamma"], cfg, seed)
     return scorer, model, params, search
@@ -254,22 +270,27 @@ def fit_knn(train: DataFrame, cfg: C.TrainingConfig, seed: int):
     ks, ws, ps = cfg.knn_grid["k"], cfg.knn_grid["weights"], cfg.knn_grid["p"]
     kmax = max(ks)
     folded = split.stratified_folds(train, seed=seed, folds=cfg.cv_folds).persist(StorageLevel.MEMORY_AND_DISK)
-    totals: dict[tuple, list] = {}
-    for f in range(cfg.cv_folds):
-        tr = folded.where(F.col("fold") != f)
-        te = folded.where(F.col("fold") == f)
-        means, stds = V.fit_array_scaler(tr.select(vector_to_array("features").alias("x")), "x")
-        trp, tep = _scaled_points(tr, means, stds), _scaled_points(te, means, stds)
-        truth = te.select("id", "label")
-        for p in ps:
+    combos = [(k, w) for k in ks for w in ws]
+
+    def fold_task(f, p):
+        def run():
+            tr = folded.where(F.col("fold") != f)
+            te = folded.where(F.col("fold") == f)
+            means, stds = V.fit_array_scaler(tr.select(vector_to_array("features").alias("x")), "x")
+            trp, tep = _scaled_points(tr, means, stds), _scaled_points(te, means, stds)
             # every (k, weighting) is scored from the same lists in one aggregate
-            nn = K.neighbours(trp, tep, kmax, p=p).join(truth, "id")
-            combos = [(k, w) for k in ks for w in ws]
+            nn = K.neighbours(trp, tep, kmax, p=p).join(te.select("id", "label"), "id")
             hits = [F.avg((K.vote_columns("nn", k, w)[0] == F.col("label")).cast("double")).alias(f"a{i}")
                     for i, (k, w) in enumerate(combos)]
             row = nn.agg(*hits).first()
-            for i, (k, w) in enumerate(combos):
-                totals.setdefault((k, p, w), []).append(100.0 * float(row[f"a{i}"] or 0.0))
+            return p, [100.0 * float(row[f"a{i}"] or 0.0) for i in range(len(combos))]
+        return run
+
+    totals: dict[tuple, list] = {}
+    results = run_parallel([fold_task(f, p) for f in range(cfg.cv_folds) for p in ps], cfg.cv_parallelism)
+    for p, accs in results:
+        for (k, w), a in zip(combos, accs):
+            totals.setdefault((k, p, w), []).append(a)
     folded.unpersist()
     # scikit-learn's grid order: keys sorted (n_neighbors, p, weights); first best wins.
     order = [(k, p, w) for k in ks for p in ps for w in ws]
