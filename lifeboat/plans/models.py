@@ -215,7 +215,7 @@ def _fit_svm_once(train: DataFrame, c: float, gamma, cfg: C.TrainingConfig, seed
                      array_to_vector(F.array(vector_to_array("rawPrediction")[1])).alias("margin"))
         return platt.transform(z).select("id", "prediction", vector_to_array("_prob")[1].alias("p1"))
 
-    return score, {"svm": svm, "platt": platt}, {"C": c, "gamma": g}
+    return score, {"svm": svm, "platt": platt, "means": means, "stds": stds, "w": w, "b": b}, {"C": c, "gamma": g}
 
 
 def run_parallel(tasks, parallelism: int) -> list:

@@ -91,3 +91,15 @@ def test_rfxgb_over_seeds(docs):
     pred, acc, best, fits = S.rfxgb(docs, FAST, seeds=(45, 2025))
     assert len(fits) == 4 and acc == pytest.approx((best[0].val_acc + best[1].val_acc) / 2)
     assert pred.count() == docs.where(~F.col("is_train")).count()
+
+
+def test_save_multi_part_models(spark, docs, tmp_path):
+    from lifeboat.sources import sinks
+    f = train_model("knn", docs, FAST)
+    path = sinks.save_model(f.model, str(tmp_path / "knn"))
+    values = sinks.load_values(spark, path)
+    assert values["k"] == f.params["k"] and len(values["means"]) == 4
+    assert spark.read.parquet(f"{path}/reference").count() == f.model["reference"].count()
+    s = train_model("svm", docs, FAST)
+    p2 = sinks.save_model(s.model, str(tmp_path / "svm"))
+    assert len(sinks.load_values(spark, p2)["w"]) == FAST.rff_dim
