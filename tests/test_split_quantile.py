@@ -71,3 +71,16 @@ def test_class_weights_balanced(spark):
     w = {r["label"]: r["weight"] for r in split.class_weights(_labelled(spark, 30, 10)).distinct().collect()
          if True}
     assert w[0] == 40 / (2 * 30) and w[1] == 40 / (2 * 10)
+
+
+def test_order_statistics_heavy_ties_at_both_ends(spark):
+    # the sketch cannot narrow an interval whose ends are huge ties: the bisection path runs
+    vals = [0.0] * 400 + [float(i) for i in range(1, 41)] + [100.0] * 400
+    df = spark.createDataFrame([(v,) for v in vals], "x DOUBLE")
+    srt = sorted(vals)
+    ranks = [0, 399, 400, 420, 439, 440, 839]
+    got = quantile.order_statistics(df, "x", ranks, local_limit=5, accuracy=10)
+    assert got == {r: srt[r] for r in ranks}
+    # with room for the 42 distinct values the stuck item is resolved grouped instead
+    got = quantile.order_statistics(df, "x", ranks, local_limit=50, accuracy=10)
+    assert got == {r: srt[r] for r in ranks}
