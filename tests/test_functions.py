@@ -177,3 +177,18 @@ def test_group_median_hot_group_path(spark):
     hot = {r["g"]: r["x_median"] for r in impute.median_by_group(d, "x", ["g"], hot_distinct=2).collect()}
     cold = {r["g"]: r["x_median"] for r in impute.median_by_group(d, "x", ["g"]).collect()}
     assert hot == cold == {"a": 3.0, "b": 8.0}
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.floats(min_value=-5, max_value=120, allow_nan=False), min_size=1, max_size=40))
+def test_fixed_bins_monotone_and_total(spark, xs):
+    d = _col(spark, xs)
+    out = binning.bin_fixed(d, "x", C.AGE_EDGES, "b", C.DEFAULT_BIN).orderBy("i").collect()
+    assert len(out) == len(xs)
+    inside = sorted((r["x"], r["b"]) for r in out if C.AGE_EDGES[0] <= r["x"] <= C.AGE_EDGES[-1])
+    assert [b for _, b in inside] == sorted(b for _, b in inside)
+    assert all(r["b"] == C.DEFAULT_BIN for r in out if not C.AGE_EDGES[0] <= r["x"] <= C.AGE_EDGES[-1])
