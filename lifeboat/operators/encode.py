@@ -68,13 +68,49 @@ def categories(df: DataFrame, column: str, limit: int = ONE_HOT_LIMIT) -> list:
     return sorted(r[0] for r in rows)
 
 
+_NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def categories_many(df: DataFrame, columns, limit: int = ONE_HOT_LIMIT) -> dict:
+    """Sorted distinct non-null values of several columns in one job.
+
+    Every row is unpivoted to (column index, value as text), de-duplicated
+    with map-side aggregation, and at most ``len(columns) * limit + 1`` pairs
+    are collected; a column above ``limit`` values raises. Values come back
+    in their column's type and order (numbers numerically).
+    """
+    columns = list(columns)
+    types = dict(df.dtypes)
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("k"), F.col(c).cast("string").alias("v"))
+                                for i, c in enumerate(columns)]))
+    cap = len(columns) * limit
+    rows = (df.select(pairs.alias("p")).select("p.k", "p.v").where(F.col("v").isNotNull())
+            .distinct().limit(cap + 1).collect())
+    if len(rows) > cap:
+        raise ValueError(f"{columns}: more than {limit} categories in a column for one-hot encoding")
+    out = {c: [] for c in columns}
+    for k, v in rows:
+        c = columns[k]
+        t = types[c]
+        out[c].append(int(v) if t in _NUMERIC[:4] else float(v) if t in _NUMERIC[4:] else v)
+    for c, vals in out.items():
+        if len(vals) > limit:
+            raise ValueError(f"{c}: more than {limit} categories for one-hot encoding")
+        vals.sort()
+    return out
+
+
 def one_hot_drop_first(df: DataFrame, column: str, prefix: str | None = None,
-                       limit: int = ONE_HOT_LIMIT, drop_source: bool = True) -> tuple[DataFrame, list]:
-    """One 0/1 column per category except the first; null -> all zeros."""
+                       limit: int = ONE_HOT_LIMIT, drop_source: bool = True,
+                       cats: list | None = None) -> tuple[DataFrame, list]:
+    """One 0/1 column per category except the first; null -> all zeros.
+
+    ``cats`` (sorted categories, e.g. from ``categories_many``) skips the scan.
+    """
     prefix = prefix or column
     names = []
     cols = []
-    for v in categories(df, column, limit)[1:]:
+    for v in (cats if cats is not None else categories(df, column, limit))[1:]:
         nm = f"{prefix}_{v}"
         names.append(nm)
         cols.append(F.coalesce(F.col(column) == F.lit(v), F.lit(False)).cast("int").alias(nm))

@@ -85,8 +85,9 @@ def features_mlp(df: DataFrame) -> tuple[DataFrame, list[str]]:
     d = binning.bin_fixed(d, "age", C.AGE_EDGES, "age_bin", C.DEFAULT_BIN)
     d = binning.bin_fixed(d, "fare", C.FARE_EDGES, "fare_bin", C.DEFAULT_BIN)
     names = list(C.MLP_NUMERIC)
+    cats = encode.categories_many(d, C.MLP_DUMMIES)  # one scan for every dummy column
     for c in C.MLP_DUMMIES:
-        d, dummies = encode.one_hot_drop_first(d, c)
+        d, dummies = encode.one_hot_drop_first(d, c, cats=cats[c])
         names += dummies
     return _finish(d, names), names
 

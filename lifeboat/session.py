@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -10,6 +11,15 @@ from pyspark.sql import SparkSession
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
+def _driver_memory() -> str:
+    """About 60% of physical memory, at most 16 GiB (local mode runs everything in the driver)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    return f"{max(1, min(16, int(total * 0.6 / 2 ** 30)))}g"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "lifeboat") -> SparkSession:
     """A local session configured the way the tests and the bench expect."""
     builder = (
@@ -23,7 +33,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", _driver_memory())
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

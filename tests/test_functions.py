@@ -192,3 +192,11 @@ def test_fixed_bins_monotone_and_total(spark, xs):
     inside = sorted((r["x"], r["b"]) for r in out if C.AGE_EDGES[0] <= r["x"] <= C.AGE_EDGES[-1])
     assert [b for _, b in inside] == sorted(b for _, b in inside)
     assert all(r["b"] == C.DEFAULT_BIN for r in out if not C.AGE_EDGES[0] <= r["x"] <= C.AGE_EDGES[-1])
+
+
+def test_categories_many_types_and_order(spark):
+    d = spark.createDataFrame([(10, "b", 1.5), (9, "a", None), (100, None, 0.5)], "n INT, s STRING, x DOUBLE")
+    cats = encode.categories_many(d, ["n", "s", "x"])
+    assert cats == {"n": [9, 10, 100], "s": ["a", "b"], "x": [0.5, 1.5]}
+    with pytest.raises(ValueError):
+        encode.categories_many(d, ["n"], limit=2)
