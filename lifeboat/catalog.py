@@ -310,8 +310,7 @@ def category_codes(spark, sf):
     s = s.withColumn("title1", TX.title_split("name")).withColumn("title2", TX.title_rf("title1"))
     s = s.withColumn("cabin", TX.deck_letter("cabin", C.NO_CABIN_RF))
     s = s.withColumn("ticket_info", TX.ticket_token("ticket"))
-    for c in _CODE_COLS:
-        s = encode.category_codes(s, c)
+    s = encode.category_codes_many(s, _CODE_COLS)
     return s.select("id", *_CODE_COLS)
 
 

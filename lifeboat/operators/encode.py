@@ -71,6 +71,29 @@ def categories(df: DataFrame, column: str, limit: int = ONE_HOT_LIMIT) -> list:
 _NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
+def category_codes_many(df: DataFrame, columns, literal_limit: int = LITERAL_MAP_LIMIT) -> DataFrame:
+    """B4 for several columns (codes replace the values): one scan finds every
+    small domain; a column above ``literal_limit`` values is numbered by the
+    distributed path instead."""
+    columns = list(columns)
+    try:
+        cats = categories_many(df, columns, literal_limit)
+    except ValueError:
+        cats = None
+    if cats is None:
+        for c in columns:
+            df = category_codes(df, c, literal_limit=literal_limit)
+        return df
+    for c in columns:
+        vals = cats[c]
+        if not vals:
+            df = df.withColumn(c, F.lit(-1))
+            continue
+        code = F.try_element_at(literal_map((v, i) for i, v in enumerate(vals)), F.col(c))
+        df = df.withColumn(c, F.coalesce(code, F.lit(-1)).cast("int"))
+    return df
+
+
 def categories_many(df: DataFrame, columns, limit: int = ONE_HOT_LIMIT) -> dict:
     """Sorted distinct non-null values of several columns in one job.
 

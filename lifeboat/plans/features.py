@@ -106,8 +106,7 @@ def features_rf(df: DataFrame, age_trees: int = C.TrainingConfig.age_forest_tree
     d = _titles_tickets_decks(d)
     d = d.withColumn("title2", TX.title_rf("title1"))
     d = d.withColumn("family_size", X.family_size("sibsp", "parch", include_self=False))
-    for c in ("sex", "embarked", "pclass", "title1", "title2", "cabin", "ticket_info"):
-        d = encode.category_codes(d, c)
+    d = encode.category_codes_many(d, ("sex", "embarked", "pclass", "title1", "title2", "cabin", "ticket_info"))
     d = _materialize(d)
     d = impute_age_forest(d, C.RF_AGE_INPUTS, trees=age_trees)
     names = list(C.RF_FEATURES)
@@ -126,8 +125,7 @@ def features_xgb(df: DataFrame, age_trees: int = C.TrainingConfig.age_forest_tre
     d = impute.fill_mode(d, "pclass")
     d = impute.frequency_encode(d, "ticket_info", "ticket_info_freq")
     d = impute.frequency_encode(d, "cabin", "cabin_freq")
-    for c in ("sex", "embarked", "title2"):
-        d = encode.category_codes(d, c)
+    d = encode.category_codes_many(d, ("sex", "embarked", "title2"))
     d = _materialize(d)
     d = impute_age_forest(d, C.XGB_AGE_INPUTS, trees=age_trees)
     d = _materialize(d)

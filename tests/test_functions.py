@@ -200,3 +200,11 @@ def test_categories_many_types_and_order(spark):
     assert cats == {"n": [9, 10, 100], "s": ["a", "b"], "x": [0.5, 1.5]}
     with pytest.raises(ValueError):
         encode.categories_many(d, ["n"], limit=2)
+
+
+def test_category_codes_many_matches_single(spark):
+    d = spark.createDataFrame([(0, "b", 10), (1, "a", 9), (2, None, 100), (3, "b", None)], "i INT, s STRING, n INT")
+    many = encode.category_codes_many(d, ["s", "n"]).orderBy("i").collect()
+    assert [(r["s"], r["n"]) for r in many] == [(1, 1), (0, 0), (-1, 2), (1, -1)]
+    fallback = encode.category_codes_many(d, ["s", "n"], literal_limit=1).orderBy("i").collect()
+    assert [(r["s"], r["n"]) for r in fallback] == [(1, 1), (0, 0), (-1, 2), (1, -1)]
