@@ -24,6 +24,7 @@ from lifeboat.operators.encode import category_codes
 from lifeboat.operators.score import score_submission
 from lifeboat.operators.vote import leaderboard_topk, soft_vote
 from lifeboat.plans import features as FE
+from lifeboat.plans import run as RUN
 from lifeboat.plans import selection as S
 from lifeboat.plans.models import predict_unlabelled, train_model
 from lifeboat.session import scratch_path
@@ -124,6 +125,19 @@ def ensemble_top3_q(spark, sf):
     return _predictions(pred)
 
 
+@query("run_pipeline")
+def run_pipeline_q(spark, sf):
+    """E-1 end to end: RF features, a forest per seed, submission + model written per seed,
+    each submission scored against the unlabelled subjects' true labels, best seed flagged."""
+    lab, unl = B.labelled_unlabelled(spark, sf)
+    truth = B.subjects(spark, sf).where(~F.col("is_train")).select(
+        F.col("id").alias("PassengerId"), F.col("label").alias("Survived"))
+    truth_path = scratch_path(spark, "truth")
+    truth.write.mode("overwrite").option("header", True).csv(truth_path)
+    res = RUN.run(spark, lab, unl, "randomforest", scratch_path(spark, "run"), ground_truth=truth_path)
+    return res.table(spark).drop("submission", "model")
+
+
 @query("model_sink")
 def model_sink_q(spark, sf):
     """Persist the fitted forest, load it back and score the unlabelled rows."""

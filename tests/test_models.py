@@ -103,3 +103,21 @@ def test_save_multi_part_models(spark, docs, tmp_path):
     s = train_model("svm", docs, FAST)
     p2 = sinks.save_model(s.model, str(tmp_path / "svm"))
     assert len(sinks.load_values(spark, p2)["w"]) == FAST.rff_dim
+
+
+def test_run_end_to_end(spark, tmp_path):
+    from lifeboat.plans.run import run
+    from conftest import SF_SMALL
+    lab, unl = B.labelled_unlabelled(spark, SF_SMALL)
+    truth = B.subjects(spark, SF_SMALL).where(~F.col("is_train")).select(
+        F.col("id").alias("PassengerId"), F.col("label").alias("Survived"))
+    tpath = str(tmp_path / "truth")
+    truth.write.option("header", True).csv(tpath)
+    res = run(spark, lab, unl, "RandomForest", str(tmp_path / "out"), cfg=FAST, ground_truth=tpath,
+              seeds=(45, 2025))
+    rows = res.rows
+    assert [r[0] for r in rows] == [45, 2025] and sum(r[5] for r in rows) == 1
+    assert all(r[4] == unl.count() and 0.0 <= r[2] <= 1.0 for r in rows)
+    assert res.val_acc == max(r[1] for r in rows)
+    with pytest.raises(ValueError):
+        run(spark, lab, unl, "nope", str(tmp_path / "x"))
