@@ -26,7 +26,7 @@ def main(argv=None) -> None:
     ap.add_argument("--ground-truth", default=None)
     ap.add_argument("--seeds", default=",".join(str(s) for s in C.SEEDS))
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("lifeboat").getOrCreate()
+    spark = SparkSession.builder.appName("lifeboat").config("spark.ui.enabled", "false").getOrCreate()
     res = run(spark, read_passengers(spark, a.train), read_passengers(spark, a.test), a.model, a.out,
               feature_set=a.features, ground_truth=a.ground_truth,
               seeds=[int(s) for s in a.seeds.split(",") if s])
