@@ -57,6 +57,14 @@ class Fitted:
     def predict(self, df: DataFrame) -> DataFrame:
         return self.scorer(df)
 
+    def report(self) -> DataFrame:
+        """E2 on the validation rows, with the class names."""
+        return metrics.classification_report(self.validation, "label", "prediction", names=C.CLASS_NAMES)
+
+    def confusion(self) -> DataFrame:
+        """E3 on the validation rows."""
+        return metrics.confusion_matrix(self.validation, "label", "prediction")
+
 
 # --- shared helpers ----------------------------------------------------------------
 

@@ -121,3 +121,11 @@ def test_run_end_to_end(spark, tmp_path):
     assert res.val_acc == max(r[1] for r in rows)
     with pytest.raises(ValueError):
         run(spark, lab, unl, "nope", str(tmp_path / "x"))
+
+
+def test_fitted_report_names(docs):
+    f = train_model("logistic_regression", docs, FAST)
+    names = {r["row_name"] for r in f.report().collect()}
+    assert {"Did Not Survive", "Survived", "accuracy", "macro avg", "weighted avg"} <= names
+    cm = f.confusion().collect()
+    assert sum(r["pred_0"] + r["pred_1"] for r in cm) == f.validation.count()
