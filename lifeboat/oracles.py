@@ -9,8 +9,6 @@ semantics.
 
 from __future__ import annotations
 
-import numpy as np
-
 from lifeboat import config as C
 from lifeboat.sources.bindings import BINDING_TITLES
 
@@ -110,11 +108,3 @@ def split_cte(seed: int = 45, ratio: float = 0.2, src: str = "subjects WHERE is_
     return (f"sp AS (SELECT *, CAST(rn <= ceil(n * {ratio}) AS INTEGER) AS is_val FROM ("
             f"SELECT *, row_number() OVER (PARTITION BY label ORDER BY u, id) AS rn, "
             f"count(*) OVER (PARTITION BY label) AS n FROM (SELECT *, {U.format(seed=seed)} AS u FROM {src})))")
-
-
-def rff_weights(d_in: int, d_out: int, gamma: float, seed: int):
-    """Random Fourier feature weights: W ~ N(0, 2*gamma), b ~ U[0, 2*pi)."""
-    rng = np.random.default_rng(seed)
-    w = rng.normal(0.0, np.sqrt(2.0 * gamma), size=(d_out, d_in))
-    b = rng.uniform(0.0, 2.0 * np.pi, size=d_out)
-    return w, b

@@ -94,10 +94,6 @@ def validate(scorer: Scorer, val: DataFrame) -> tuple[float, DataFrame]:
                                             "prediction", "p1")
 
 
-def _count(df: DataFrame) -> int:
-    return df.count()
-
-
 # --- M1 random forest --------------------------------------------------------------
 
 def fit_random_forest(train: DataFrame, cfg: C.TrainingConfig, seed: int) -> tuple[Scorer, object, dict]:
@@ -183,7 +179,7 @@ def fit_boosting_early_stop(train: DataFrame, val: DataFrame, cfg: C.TrainingCon
 def fit_logistic(train: DataFrame, cfg: C.TrainingConfig, seed: int):
     """L2 logistic regression with balanced class weights; C = 1 -> regParam = 1 / n."""
     weighted = split.class_weights(train, "label", "weight")
-    n = _count(train)
+    n = train.count()
     lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight",
                             regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False,
                             maxIter=cfg.lr_max_iter, family="binomial")
@@ -205,7 +201,7 @@ def _fit_svm_once(train: DataFrame, c: float, gamma, cfg: C.TrainingConfig, seed
     w, b = V.rff_weights(len(means), cfg.rff_dim, g, seed)
     mapped = split.class_weights(_svm_transform(train, means, stds, w, b), "label", "weight")
     mapped = mapped.persist(StorageLevel.MEMORY_AND_DISK)
-    n = _count(mapped)
+    n = mapped.count()
     svc = LinearSVC(featuresCol="features", labelCol="label", weightCol="weight",
                     regParam=1.0 / (c * max(n, 1)), maxIter=cfg.svm_max_iter, tol=cfg.svm_tol,
                     standardization=False)
