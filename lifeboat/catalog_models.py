@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lifeboat import config as C  # noqa: F401
 from lifeboat import oracles as O
 from lifeboat.catalog import query
 from lifeboat.operators import knn as K

@@ -1,7 +1,6 @@
 """Edge values of the row-level rules and encoders (FIXTURES §4)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from lifeboat import config as C
 from lifeboat.functions import columns as X
