@@ -1,9 +1,12 @@
-"""Partition layout for iterative fits."""
+"""Partition layout for iterative fits, and staging tables that many fits scan."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
+from lifeboat.session import scratch_path
+
 SPREAD_MAX_ROWS = 50_000_000
 SPREAD_MIN_ROWS_PER_TASK = 1_000
 
@@ -22,3 +25,23 @@ def spread(df: DataFrame, n_rows: int) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     parts = max(1, min(cores, -(-n_rows // SPREAD_MIN_ROWS_PER_TASK)))
     return df.repartition(parts, "id")
+
+
+def stage(df: DataFrame, name: str = "stage", to_storage: bool | None = None) -> DataFrame:
+    """Make an input that several fit steps scan cheap to re-read.
+
+    On a cluster (``to_storage`` None and a non-local master) ``df`` is written
+    once as parquet under the shared checkpoint folder and read back: a join
+    of big tables runs once, every later scan reads only the columns it needs
+    (parquet pruning) instead of whole cached rows, and the lineage is cut, so
+    a lost executor costs a re-read from shared storage, not a recompute. In
+    local mode (tests, the bench) the rows are persisted in memory instead.
+    """
+    spark = df.sparkSession
+    if to_storage is None:
+        to_storage = not spark.sparkContext.master.startswith("local")
+    if not to_storage:
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

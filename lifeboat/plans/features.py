@@ -21,7 +21,7 @@ from lifeboat import config as C
 from lifeboat.functions import columns as X
 from lifeboat.functions import text as TX
 from lifeboat.operators import binning, encode, impute
-from lifeboat.operators.layout import spread
+from lifeboat.operators.layout import spread, stage
 
 KEYS = ("id", "label", "is_train")
 
@@ -72,7 +72,7 @@ def impute_age_forest(df: DataFrame, inputs, trees: int = C.TrainingConfig.age_f
 # --- MLP set -----------------------------------------------------------------------
 
 def features_mlp(df: DataFrame) -> tuple[DataFrame, list[str]]:
-    d = _materialize(df).withColumn("title", TX.title_regex("name"))
+    d = stage(df, "features-input").withColumn("title", TX.title_regex("name"))
     d = d.withColumn("sex", X.is_female("sex"))
     d = impute.fill_mode(d, "embarked", default=C.EMBARKED_FALLBACK)
     d = impute.fill_median(d, "fare")
@@ -101,7 +101,7 @@ def _titles_tickets_decks(d: DataFrame) -> DataFrame:
 
 
 def features_rf(df: DataFrame, age_trees: int = C.TrainingConfig.age_forest_trees) -> tuple[DataFrame, list[str]]:
-    d = _materialize(df).withColumn("embarked", F.coalesce(F.col("embarked"), F.lit(C.EMBARKED_FALLBACK)))
+    d = stage(df, "features-input").withColumn("embarked", F.coalesce(F.col("embarked"), F.lit(C.EMBARKED_FALLBACK)))
     d = impute.fill_mean(d, "fare")
     d = _titles_tickets_decks(d)
     d = d.withColumn("title2", TX.title_rf("title1"))
@@ -116,7 +116,8 @@ def features_rf(df: DataFrame, age_trees: int = C.TrainingConfig.age_forest_tree
 # --- XGB set -----------------------------------------------------------------------
 
 def features_xgb(df: DataFrame, age_trees: int = C.TrainingConfig.age_forest_trees) -> tuple[DataFrame, list[str]]:
-    d = impute.fill_mode_by_group(_materialize(df), "embarked", ["pclass"], default=C.EMBARKED_FALLBACK)
+    d = impute.fill_mode_by_group(stage(df, "features-input"), "embarked", ["pclass"],
+                                  default=C.EMBARKED_FALLBACK)
     d = impute.fill_mean(d, "fare")
     d = _titles_tickets_decks(d)
     d = d.withColumn("title2", TX.title_xgb("title1"))
@@ -165,7 +166,7 @@ def prepare(labelled: DataFrame, unlabelled: DataFrame, feature_set: str,
     """
     from lifeboat.operators.score import union_tagged
 
-    stacked = union_tagged(labelled, unlabelled).persist(StorageLevel.MEMORY_AND_DISK)
+    stacked = union_tagged(labelled, unlabelled)  # the builder stages it
     feats, names = build_features(stacked, feature_set)
     if scale is None:
         scale = feature_set.lower() == "mlp"

@@ -207,3 +207,11 @@ def test_category_codes_many_matches_single(spark):
     assert [(r["s"], r["n"]) for r in many] == [(1, 1), (0, 0), (-1, 2), (1, -1)]
     fallback = encode.category_codes_many(d, ["s", "n"], literal_limit=1).orderBy("i").collect()
     assert [(r["s"], r["n"]) for r in fallback] == [(1, 1), (0, 0), (-1, 2), (1, -1)]
+
+
+def test_stage_to_storage_roundtrip(spark):
+    from lifeboat.operators.layout import stage
+    d = _col(spark, [1.0, None, 3.0])
+    staged = stage(d, "t", to_storage=True)
+    assert sorted(tuple(r) for r in staged.collect()) == sorted(tuple(r) for r in d.collect())
+    assert "parquet" in staged.inputFiles()[0] or staged.inputFiles()[0].endswith(".parquet")
