@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lifeboat import oracles as O
+from lifeboat import config as C
 from lifeboat.catalog import query
 from lifeboat.operators import knn as K
 from lifeboat.operators import vectors as V
@@ -90,7 +91,8 @@ def _history(spark, f, kept_step: int) -> DataFrame:
 @query("early_stop")
 def early_stop_q(spark, sf):
     """V5: validation log-loss of every boosting prefix, the kept prefix flagged."""
-    f = train_model("xgboost", model_input(spark, sf))
+    cfg = C.TrainingConfig(use_xgboost_package=False)  # the prefix search itself, package or not
+    f = train_model("xgboost", model_input(spark, sf), cfg)
     return _history(spark, f, f.params["rounds"])
 
 

@@ -130,6 +130,7 @@ class TrainingConfig:
     xgb_subsample: float = 0.9
     xgb_feature_fraction: str = "0.8"
     early_stopping_rounds: int = 50
+    use_xgboost_package: bool = True  # xgboost.spark when importable, else GBTClassifier
     # gradient boosting grid (trimmed default; GB_GRID_FULL is opt-in)
     gb_grid: dict = field(default_factory=lambda: {
         "maxIter": (30,), "stepSize": (0.05, 0.1), "maxDepth": (3, 4),

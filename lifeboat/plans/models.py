@@ -174,6 +174,29 @@ def fit_boosting_early_stop(train: DataFrame, val: DataFrame, cfg: C.TrainingCon
     return _ml_scorer(model), model, {"rounds": best + 1}, history
 
 
+try:  # the xgboost package's own Spark estimator, when the cluster has it installed
+    from xgboost.spark import SparkXGBClassifier
+except ImportError:  # pragma: no cover - not installed here
+    SparkXGBClassifier = None
+
+
+def fit_xgboost_package(train: DataFrame, val: DataFrame, cfg: C.TrainingConfig, seed: int):
+    """M3 with the xgboost package: the same settings as the original (rounds, step,
+    depth, row and column subsampling, L2 = 1, log-loss, early stopping on the
+    validation rows), distributed by its Spark estimator."""
+    data = (train.withColumn("_is_val", F.lit(False))
+            .unionByName(val.withColumn("_is_val", F.lit(True))))
+    est = SparkXGBClassifier(
+        features_col="features", label_col="label", validation_indicator_col="_is_val",
+        n_estimators=cfg.xgb_rounds, learning_rate=cfg.xgb_step, max_depth=cfg.xgb_depth,
+        subsample=cfg.xgb_subsample, colsample_bytree=float(cfg.xgb_feature_fraction), reg_lambda=1.0,
+        reg_alpha=0.0, min_child_weight=1.0, eval_metric="logloss",
+        early_stopping_rounds=cfg.early_stopping_rounds, random_state=seed,
+        num_workers=max(1, data.sparkSession.sparkContext.defaultParallelism))
+    model = est.fit(data)
+    return _ml_scorer(model), model, {"package": "xgboost"}, []
+
+
 # --- M5 logistic regression (V6) ---------------------------------------------------
 
 def fit_logistic(train: DataFrame, cfg: C.TrainingConfig, seed: int):
@@ -375,6 +398,8 @@ def train_model(name: str, data: DataFrame, cfg: C.TrainingConfig | None = None,
         scorer, model, params = fit_random_forest(train, cfg, seed)
     elif name == "gradient_boosting":
         scorer, model, params, search = fit_gradient_boosting(train, cfg, seed)
+    elif name == "xgboost" and cfg.use_xgboost_package and SparkXGBClassifier is not None:
+        scorer, model, params, history = fit_xgboost_package(train, val, cfg, seed)
     elif name == "xgboost":
         scorer, model, params, history = fit_boosting_early_stop(train, val, cfg, seed)
     elif name == "logistic_regression":
