@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from lifeboat.session import scratch_path
 
 SPREAD_MAX_ROWS = 50_000_000
+# None: stage to storage on a cluster, persist in local mode; True/False forces one way.
+STAGE_TO_STORAGE: bool | None = None
 SPREAD_MIN_ROWS_PER_TASK = 1_000
 
 
@@ -38,6 +40,8 @@ def stage(df: DataFrame, name: str = "stage", to_storage: bool | None = None) ->
     local mode (tests, the bench) the rows are persisted in memory instead.
     """
     spark = df.sparkSession
+    if to_storage is None:
+        to_storage = STAGE_TO_STORAGE
     if to_storage is None:
         to_storage = not spark.sparkContext.master.startswith("local")
     if not to_storage:

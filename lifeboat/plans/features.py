@@ -143,11 +143,9 @@ FEATURE_SETS = {"mlp": features_mlp, "rf": features_rf, "xgb": features_xgb}
 
 
 def _materialize(d: DataFrame) -> DataFrame:
-    """Persist an intermediate that several later fit steps scan (memory, then disk).
-
-    Persisting an already persisted plan is a no-op, so builders call it freely.
-    """
-    return d.persist(StorageLevel.MEMORY_AND_DISK)
+    """An intermediate that several later fit steps scan (e.g. the forest-filled table):
+    staged as parquet in the shared folder on a cluster, persisted locally."""
+    return stage(d, "features-step")
 
 
 def build_features(df: DataFrame, feature_set: str) -> tuple[DataFrame, list[str]]:

@@ -215,3 +215,18 @@ def test_stage_to_storage_roundtrip(spark):
     staged = stage(d, "t", to_storage=True)
     assert sorted(tuple(r) for r in staged.collect()) == sorted(tuple(r) for r in d.collect())
     assert "parquet" in staged.inputFiles()[0] or staged.inputFiles()[0].endswith(".parquet")
+
+
+def test_feature_set_same_when_staged_to_storage(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from lifeboat.operators import layout
+    from lifeboat.operators.score import union_tagged
+    from lifeboat.plans.features import features_mlp
+    from lifeboat.sources import bindings as B
+
+    lab, unl = B.labelled_unlabelled(spark, SF_SMALL)
+    a, names_a = features_mlp(union_tagged(lab, unl))
+    monkeypatch.setattr(layout, "STAGE_TO_STORAGE", True)
+    b, names_b = features_mlp(union_tagged(lab, unl))
+    assert names_a == names_b
+    assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
