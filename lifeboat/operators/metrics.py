@@ -67,7 +67,6 @@ def classification_report(df: DataFrame, label: str = "label", prediction: str =
         name_col = F.col("cls").cast("string")
     rows = per.select(name_col.alias("row_name"), "precision", "recall", "f1",
                       F.col("support").cast("long").alias("support"))
-    tot = per.agg(F.sum("support").alias("n"))
     acc = cm.agg((F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0))
                   / F.sum("n")).alias("a"), F.sum("n").alias("n"))
     acc_row = acc.select(F.lit("accuracy").alias("row_name"), F.lit(None).cast("double").alias("precision"),
@@ -82,7 +81,6 @@ def classification_report(df: DataFrame, label: str = "label", prediction: str =
         (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("recall"),
         (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("f1"),
         F.sum("support").cast("long").alias("support"))
-    del tot
     out = rows.unionByName(acc_row).unionByName(macro).unionByName(weighted)
     return out.select("row_name", *[F.round(c, 4).alias(c) for c in ("precision", "recall", "f1")], "support")
 
