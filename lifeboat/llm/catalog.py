@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lifeboat.llm import chat, exact_dedup, secret_scan, simhash, token_count
+from lifeboat.llm import chat, exact_dedup, packing, secret_scan, simhash, token_count, toxicity
 from lifeboat.llm.common import table
 
 QUERIES: dict = {}
@@ -41,6 +41,11 @@ def op1_chat_rotation(spark: SparkSession, sf: str) -> DataFrame:
     return chat.rotate(table(spark, sf, "conversations"))
 
 
+@query("op2_best_fit")
+def op2_best_fit(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.best_fit(table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query("op3_token_count")
 def op3_token_count(spark: SparkSession, sf: str) -> DataFrame:
     counts = token_count.count_tokens(table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER))
@@ -53,6 +58,14 @@ def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = toxicity.fit(docs, table(spark, sf, "labels"), F.col("toxic"))
+    scored = docs.select("doc_id", toxicity.severity(model, toxicity.text_or_empty("text")).alias("s"))
+    return scored.select("doc_id", "s.severity", "s.p_toxic", "s.grade", (F.col("s.p_toxic") >= 0.5).alias("rejected"))
+
+
 def _secret_sql() -> str:
     kinds = secret_scan.BASE + secret_scan.ADDED
     q = lambda s: s.replace("'", "''")
