@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lifeboat.llm import chat, exact_dedup, packing, secret_scan, simhash, token_count, toxicity
+from lifeboat.llm import chat, exact_dedup, html_extract, packing, secret_scan, simhash, token_count, toxicity
 from lifeboat.llm.common import table
 
 QUERIES: dict = {}
@@ -66,6 +66,11 @@ def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("doc_id", "s.severity", "s.p_toxic", "s.grade", (F.col("s.p_toxic") >= 0.5).alias("rejected"))
 
 
+@query("op8_html_extract")
+def op8_html_extract(spark: SparkSession, sf: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf, "pages")).withColumnRenamed("id", "page_id")
+
+
 def _secret_sql() -> str:
     kinds = secret_scan.BASE + secret_scan.ADDED
     q = lambda s: s.replace("'", "''")
