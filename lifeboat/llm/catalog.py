@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lifeboat.llm import chat, exact_dedup, html_extract, packing, secret_scan, simhash, token_count, toxicity
+from lifeboat.llm import chat, decontaminate, exact_dedup, html_extract, packing, secret_scan, simhash, token_count, toxicity
 from lifeboat.llm.common import table
 
 QUERIES: dict = {}
@@ -58,6 +58,13 @@ def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@query("op5_decontaminate")
+def op5_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), F.round("cosine", 4).alias("cosine"),
+                        F.round("lcs", 6).alias("lcs"), F.round("answer", 6).alias("answer"), "start_word", "end_word")
+
+
 @query("op6_toxicity")
 def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
