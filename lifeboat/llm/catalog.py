@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lifeboat.llm import chat, decontaminate, exact_dedup, html_extract, packing, secret_scan, simhash, token_count, toxicity
+from lifeboat.llm import chat, decontaminate, exact_dedup, html_extract, packing, secret_scan, simhash, substring_dedup, token_count, toxicity
 from lifeboat.llm.common import table
 
 QUERIES: dict = {}
@@ -73,6 +73,12 @@ def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("doc_id", "s.severity", "s.p_toxic", "s.grade", (F.col("s.p_toxic") >= 0.5).alias("rejected"))
 
 
+@query("op7_substring_dedup")
+def op7_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(table(spark, sf, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
 @query("op8_html_extract")
 def op8_html_extract(spark: SparkSession, sf: str) -> DataFrame:
     return html_extract.extract(table(spark, sf, "pages")).withColumnRenamed("id", "page_id")
