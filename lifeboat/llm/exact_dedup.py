@@ -81,4 +81,4 @@ def drop_copies(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id")
     """``docs`` without the rows that ``exact_dedup`` does not keep; same columns."""
     row = free_name(docs, "row_id")
     gone = stage(exact_dedup(docs, text_col, id_col).filter("NOT kept").select(F.col("row_id").alias(row)), "copies")
-    return docs.withColumn(row, F.monotonically_increasing_id()).join(gone, row, "left_anti").select(*docs.columns)
+    return docs.withColumn(row, F.monotonically_increasing_id()).join(gone, row, "left_anti").drop(row)

@@ -173,7 +173,7 @@ def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sh
     first = found.filter("id <=> component_id").groupBy("component_id", "fp").agg(F.min("row_id").alias("r"))
     keep = first.groupBy("component_id").agg(F.min("r").alias("r")).select(F.col("r").alias(row))
     gone = stage(found.select(F.col("row_id").alias(row)).join(keep, row, "left_anti"), "near-copies")
-    return docs.withColumn(row, F.monotonically_increasing_id()).join(gone, row, "left_anti").select(*docs.columns)
+    return docs.withColumn(row, F.monotonically_increasing_id()).join(gone, row, "left_anti").drop(row)
 
 
 def hex_digits(fp: Column) -> Column:
