@@ -2,142 +2,129 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lifeboat.operators.lookup import attach, bounded_rows, literal_map
-from lifeboat.session import checkpoint_root
+from lifeboat.operators.lookup import attach, literal_map
+from lifeboat.operators.ranks import rank_in_groups
+
+#: A column with at most so many values gets its codes from a map in the projection (a map
+#: lookup walks its keys), any other by a join; both give the same codes.
+MAP_VALUES = 100
+_FLOATS = ("float", "double")
+
 
-LITERAL_MAP_LIMIT = 10_000
-ONE_HOT_LIMIT = 1_000
+def _present(df: DataFrame, column: str) -> Column:
+    """Has a value: not null and, as pandas counts it, not NaN."""
+    c = F.col(column)
+    return c.isNotNull() & ~F.isnan(c) if dict(df.dtypes)[column] in _FLOATS else c.isNotNull()
 
 
 def _distinct(df: DataFrame, column: str) -> DataFrame:
-    return df.where(F.col(column).isNotNull()).select(column).distinct()
+    return df.where(_present(df, column)).select(column).distinct()
 
 
 def dense_index(values: DataFrame, column: str, name: str) -> DataFrame:
-    """0-based position of each (distinct) value in ascending order, fully distributed.
+    """0-based position of each (distinct) value in ascending order, fully distributed."""
+    return rank_in_groups(values, [], [column], name=name).withColumn(name, F.col(name).cast("int"))
 
-    Range-partition and sort, fix the partitioning with a reliable checkpoint,
-    count rows per partition (one row per partition reaches the driver), then
-    number rows inside each range partition and add the partition's offset.
-    No step puts all values into one task.
-    """
-    checkpoint_root(values.sparkSession)
-    ranged = (values.repartitionByRange(column).sortWithinPartitions(column)
-              .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
-    counts = sorted((r["_pid"], r["n"]) for r in
-                    ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect())
-    offsets, run = [], 0
-    for pid, n in counts:
-        offsets.append((pid, run))
-        run += n
-    off = literal_map(offsets)
-    w = Window.partitionBy("_pid").orderBy(column)
-    return (ranged.withColumn(name, (F.row_number().over(w) - 1 + F.element_at(off, F.col("_pid")))
-                              .cast("int"))
-            .drop("_pid"))
-
-
-def category_codes(df: DataFrame, column: str, name: str | None = None,
-                   literal_limit: int = LITERAL_MAP_LIMIT) -> DataFrame:
-    """Sorted distinct values -> 0..n-1, null -> -1 (``astype('category').cat.codes``).
-
-    Small domains become a literal map inside the projection (no join); large
-    domains are numbered by ``dense_index`` and joined back.
-    """
-    name = name or column
-    distinct = _distinct(df, column)
-    rows = bounded_rows(distinct, literal_limit)
-    if rows is not None:
-        vals = sorted(r[0] for r in rows)
-        if not vals:
-            return df.withColumn(name, F.lit(-1))
-        code = F.try_element_at(literal_map((v, i) for i, v in enumerate(vals)), F.col(column))
-        return df.withColumn(name, F.coalesce(code, F.lit(-1)).cast("int"))
-    codes = dense_index(distinct, column, "_code")
-    out = attach(df, codes, column)
-    return out.withColumn(name, F.coalesce(F.col("_code"), F.lit(-1)).cast("int")).drop("_code")
 
+def _typed(kind: str, texts: list[str]) -> list:
+    """Values of a column type from their text, in the type's order."""
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return sorted(int(t) for t in texts)
+    if kind in _FLOATS:
+        return sorted(float(t) for t in texts)
+    if kind.startswith("decimal"):
+        return sorted(Decimal(t) for t in texts)
+    return sorted(texts)        # strings; booleans, dates and timestamps in their ISO form
 
-def categories(df: DataFrame, column: str, limit: int = ONE_HOT_LIMIT) -> list:
-    rows = bounded_rows(_distinct(df, column), limit)
-    if rows is None:
-        raise ValueError(f"{column}: more than {limit} categories for one-hot encoding")
-    return sorted(r[0] for r in rows)
 
+def _literal(kind: str, value) -> Column:
+    """A value as a literal of the column's own type."""
+    return F.lit(str(value)).cast(kind)
 
-_NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
+def _codes_by_map(df: DataFrame, column: str, kind: str, values: list, name: str) -> DataFrame:
+    if not values:
+        return df.withColumn(name, F.lit(-1))
+    pairs = [x for i, v in enumerate(values) for x in (_literal(kind, v), F.lit(i))]
+    code = F.try_element_at(F.create_map(*pairs), F.col(column))
+    return df.withColumn(name, F.coalesce(code, F.lit(-1)).cast("int"))
 
-def category_codes_many(df: DataFrame, columns, literal_limit: int = LITERAL_MAP_LIMIT) -> DataFrame:
-    """B4 for several columns (codes replace the values): one scan finds every
-    small domain; a column above ``literal_limit`` values is numbered by the
-    distributed path instead."""
-    columns = list(columns)
-    try:
-        cats = categories_many(df, columns, literal_limit)
-    except ValueError:
-        cats = None
-    if cats is None:
-        for c in columns:
-            df = category_codes(df, c, literal_limit=literal_limit)
-        return df
-    for c in columns:
-        vals = cats[c]
-        if not vals:
-            df = df.withColumn(c, F.lit(-1))
-            continue
-        code = F.try_element_at(literal_map((v, i) for i, v in enumerate(vals)), F.col(c))
-        df = df.withColumn(c, F.coalesce(code, F.lit(-1)).cast("int"))
+
+def _codes_by_join(df: DataFrame, fit: DataFrame, column: str, name: str) -> DataFrame:
+    out = attach(df, dense_index(_distinct(fit, column), column, "_code"), column)
+    return out.withColumn(name, F.coalesce(F.col("_code"), F.lit(-1)).cast("int")).drop("_code")
+
+
+def category_codes(df: DataFrame, column: str, name: str | None = None, map_values: int = MAP_VALUES,
+                   fit: DataFrame | None = None) -> DataFrame:
+    """Sorted distinct values -> 0..n-1, null (and NaN) -> -1 (``astype('category').cat.codes``).
+
+    ``fit`` is the table whose values are numbered (default ``df``); other values get -1.
+    """
+    name = name or column
+    same = fit is None
+    fit = (df if same else fit).withColumn(name, F.col(column))
+    return category_codes_many(fit if same else df.withColumn(name, F.col(column)), [name], map_values, fit)
+
+
+def category_codes_many(df: DataFrame, columns, map_values: int = MAP_VALUES, fit: DataFrame | None = None) -> DataFrame:
+    """B4 for several columns (codes replace the values): one job counts their
+    values, a second lists those of the small ones."""
+    columns, fit, kinds = list(columns), df if fit is None else fit, dict(df.dtypes)
+    pairs = _pairs(fit, columns).distinct().persist()
+    counts = {r["k"]: r["n"] for r in pairs.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
+    small = [i for i in range(len(columns)) if counts.get(i, 0) <= map_values]
+    texts = {i: [] for i in small}
+    for k, v in pairs.where(F.col("k").isin(small)).collect():
+        texts[k].append(v)
+    pairs.unpersist()
+    for i, c in enumerate(columns):
+        if i in texts:
+            df = _codes_by_map(df, c, kinds[c], _typed(kinds[c], texts[i]), c)
+        else:
+            df = _codes_by_join(df, fit, c, c)
     return df
 
 
-def categories_many(df: DataFrame, columns, limit: int = ONE_HOT_LIMIT) -> dict:
-    """Sorted distinct non-null values of several columns in one job.
+def _pairs(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column number, value as text) of every non-null value."""
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("k"), F.when(_present(df, c), F.col(c).cast("string")).alias("v"))
+                               for i, c in enumerate(columns)]))
+    return df.select(each.alias("p")).select("p.k", "p.v").where(F.col("v").isNotNull())
+
 
-    Every row is unpivoted to (column index, value as text), de-duplicated
-    with map-side aggregation, and at most ``len(columns) * limit + 1`` pairs
-    are collected; a column above ``limit`` values raises. Values come back
-    in their column's type and order (numbers numerically).
+def categories_many(df: DataFrame, columns) -> dict:
+    """Sorted distinct non-null values of several columns in one job, in their columns' types and orders.
+
+    For one-hot encoding: every value becomes a column, so they are listed on the driver.
     """
-    columns = list(columns)
-    types = dict(df.dtypes)
-    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("k"), F.col(c).cast("string").alias("v"))
-                                for i, c in enumerate(columns)]))
-    cap = len(columns) * limit
-    rows = (df.select(pairs.alias("p")).select("p.k", "p.v").where(F.col("v").isNotNull())
-            .distinct().limit(cap + 1).collect())
-    if len(rows) > cap:
-        raise ValueError(f"{columns}: more than {limit} categories in a column for one-hot encoding")
+    columns, kinds = list(columns), dict(df.dtypes)
     out = {c: [] for c in columns}
-    for k, v in rows:
-        c = columns[k]
-        t = types[c]
-        out[c].append(int(v) if t in _NUMERIC[:4] else float(v) if t in _NUMERIC[4:] else v)
-    for c, vals in out.items():
-        if len(vals) > limit:
-            raise ValueError(f"{c}: more than {limit} categories for one-hot encoding")
-        vals.sort()
-    return out
-
-
-def one_hot_drop_first(df: DataFrame, column: str, prefix: str | None = None,
-                       limit: int = ONE_HOT_LIMIT, drop_source: bool = True,
+    for k, v in _pairs(df, columns).distinct().collect():
+        out[columns[k]].append(v)
+    return {c: _typed(kinds[c], texts) for c, texts in out.items()}
+
+
+def categories(df: DataFrame, column: str) -> list:
+    return categories_many(df, [column])[column]
+
+
+def one_hot_drop_first(df: DataFrame, column: str, prefix: str | None = None, drop_source: bool = True,
                        cats: list | None = None) -> tuple[DataFrame, list]:
     """One 0/1 column per category except the first; null -> all zeros.
 
     ``cats`` (sorted categories, e.g. from ``categories_many``) skips the scan.
     """
-    prefix = prefix or column
-    names = []
-    cols = []
-    for v in (cats if cats is not None else categories(df, column, limit))[1:]:
-        nm = f"{prefix}_{v}"
-        names.append(nm)
-        cols.append(F.coalesce(F.col(column) == F.lit(v), F.lit(False)).cast("int").alias(nm))
-    out = df.select("*", *cols)
+    prefix, kind = prefix or column, dict(df.dtypes)[column]
+    values = (cats if cats is not None else categories(df, column))[1:]
+    names = [f"{prefix}_{v}" for v in values]
+    out = df.select("*", *[F.coalesce(F.col(column) == _literal(kind, v), F.lit(False)).cast("int").alias(n)
+                           for v, n in zip(values, names)])
     if drop_source:
         out = out.drop(column)
     return out, names

@@ -1,51 +1,33 @@
-"""Partition layout for iterative fits, and staging tables that many fits scan."""
+"""Partition layout for iterative fits, and staging of tables that several steps scan."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from lifeboat.session import scratch_path
 
-SPREAD_MAX_ROWS = 50_000_000
-# None: stage to storage on a cluster, persist in local mode; True/False forces one way.
-STAGE_TO_STORAGE: bool | None = None
-SPREAD_MIN_ROWS_PER_TASK = 1_000
+#: Partitions a model is fitted on: a setting, not a function of cores or rows.
+FIT_PARTITIONS = 16
 
 
-def spread(df: DataFrame, n_rows: int) -> DataFrame:
-    """Give an iterative fit at least one partition per core.
+def spread(df: DataFrame, partitions: int = FIT_PARTITIONS, key: str = "id") -> DataFrame:
+    """Rows of an iterative fit in a fixed layout: hashed by ``key`` into ``partitions``, sorted inside.
 
-    AQE sizes partitions by bytes, so a small, CPU-heavy training set can end
-    up in one or two partitions and every optimiser pass runs on two cores.
-    Below ``SPREAD_MAX_ROWS`` rows the set is re-hashed over the cores (a cheap
-    shuffle); above it the scan already yields many partitions and the data is
-    left where it is.
+    Spark's bagging draws per partition, so a model depends on which rows share
+    a partition and in what order. Both are fixed here by the keys and one
+    setting (``TrainingConfig.fit_partitions``; raise it for large tables), so
+    the same rows and seed give the same model on any cluster.
     """
-    if n_rows > SPREAD_MAX_ROWS:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    parts = max(1, min(cores, -(-n_rows // SPREAD_MIN_ROWS_PER_TASK)))
-    return df.repartition(parts, "id")
-
-
-def stage(df: DataFrame, name: str = "stage", to_storage: bool | None = None) -> DataFrame:
-    """Make an input that several fit steps scan cheap to re-read.
-
-    On a cluster (``to_storage`` None and a non-local master) ``df`` is written
-    once as parquet under the shared checkpoint folder and read back: a join
-    of big tables runs once, every later scan reads only the columns it needs
-    (parquet pruning) instead of whole cached rows, and the lineage is cut, so
-    a lost executor costs a re-read from shared storage, not a recompute. In
-    local mode (tests, the bench) the rows are persisted in memory instead.
+    return df.repartition(partitions, key).sortWithinPartitions(key)
+
+
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
+
+    A join of big tables runs once, every later scan reads only the columns
+    it needs, and the lineage is cut, so a lost executor costs a re-read
+    from shared storage instead of a recompute.
     """
-    spark = df.sparkSession
-    if to_storage is None:
-        to_storage = STAGE_TO_STORAGE
-    if to_storage is None:
-        to_storage = not spark.sparkContext.master.startswith("local")
-    if not to_storage:
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
-    path = scratch_path(spark, name)
+    path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,18 +1,22 @@
-"""Attaching per-key statistics back to rows, with a checked broadcast.
+"""Attaching per-key statistics back to rows.
 
-A statistics table (one row per key) is broadcast only after a bounded
-``limit(n + 1).count()`` proves it has at most ``limit`` rows. Above the limit
-the table stays distributed and the join is a shuffle join (AQE may still pick
-a broadcast from runtime sizes, and splits skewed partitions).
+A statistics table (one row per key) is staged once; Spark then knows its
+size in bytes and broadcasts it only below ``spark.sql.autoBroadcastJoinThreshold``,
+otherwise it plans a shuffle join, whose skewed partitions AQE splits. Rows
+with a null key match nothing; they are spread over the shuffle by a salt
+instead of meeting in one partition.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 100_000
+from lifeboat.operators.layout import stage
+
+NULL_SALTS = 1_024
 
 
 def bounded_rows(df: DataFrame, limit: int):
@@ -21,24 +25,14 @@ def bounded_rows(df: DataFrame, limit: int):
     return rows if len(rows) <= limit else None
 
 
-def small_side(stats: DataFrame, limit: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``stats`` marked for broadcast when proven small, else unchanged.
-
-    The statistics are persisted first, so the size check (a bounded count)
-    and the join read the same computed rows; nothing passes through Python.
-    Above the limit the join stays a shuffle join, where AQE splits skewed
-    partitions of the large side.
-    """
-    stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
-    if stats.limit(limit + 1).count() <= limit:
-        return F.broadcast(stats)
-    return stats
-
-
-def attach(df: DataFrame, stats: DataFrame, keys, limit: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def attach(df: DataFrame, stats: DataFrame, keys) -> DataFrame:
     """Left-join per-key statistics onto ``df``; null keys get null statistics."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return df.join(small_side(stats, limit), on=keys, how="left")
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    salted = df.withColumn("_salt", F.when(no_key, 1 + F.pmod(F.monotonically_increasing_id(), F.lit(NULL_SALTS))).otherwise(0).cast("int"))
+    side = stage(stats, "statistics").withColumn("_salt", F.lit(0))
+    order = df.columns + [c for c in stats.columns if c not in df.columns]
+    return salted.join(side, on=[*keys, "_salt"], how="left").select(*[f"`{c}`" for c in order])
 
 
 def literal_map(pairs) -> F.Column:

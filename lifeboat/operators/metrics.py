@@ -7,9 +7,11 @@ they cost one pass whatever the size of the scored table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lifeboat.operators.layout import stage
+
 
 def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """One row (accuracy in %, matches, total)."""
@@ -27,12 +29,21 @@ def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "pre
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction",
-                     classes=(0, 1)) -> DataFrame:
-    """One row per actual class with a count column per predicted class."""
+                     classes=None) -> DataFrame:
+    """One row per class with a count column per predicted class, zeros included.
+
+    The classes are those that occur as a label or as a prediction (one row
+    each reaches the driver, as each becomes a column); ``classes`` adds more.
+    """
     cm = confusion_counts(df, label, prediction)
-    piv = cm.groupBy("actual").pivot("predicted", list(classes)).agg(F.sum("n"))
-    cols = [F.coalesce(F.col(str(c)), F.lit(0)).cast("long").alias(f"pred_{c}") for c in classes]
-    return piv.select(F.col("actual"), *cols)
+    found = {r[0] for r in cm.select(F.explode(F.array("actual", "predicted").cast("array<long>")).alias("c")).distinct().collect()}
+    every = sorted((found | set(classes or ())) - {None})
+    frame = df.sparkSession.createDataFrame([(int(c),) for c in every], "actual LONG")
+    piv = cm.groupBy(F.col("actual").cast("long").alias("actual")).agg(
+        *[F.sum(F.when(F.col("predicted") == c, F.col("n"))).alias(f"_{c}") for c in every])
+    kind = dict(df.dtypes)[label]
+    return frame.join(piv, "actual", "left").select(
+        F.col("actual").cast(kind).alias("actual"), *[F.coalesce(f"`_{c}`", F.lit(0)).cast("long").alias(f"pred_{c}") for c in every])
 
 
 def classification_report(df: DataFrame, label: str = "label", prediction: str = "prediction",
@@ -42,7 +53,7 @@ def classification_report(df: DataFrame, label: str = "label", prediction: str =
     0/0 is reported as 0 (scikit-learn ``zero_division`` default behaviour).
     Output: (row_name, precision, recall, f1, support), values rounded to 4 digits.
     """
-    cm = confusion_counts(df, label, prediction).cache()
+    cm = stage(confusion_counts(df, label, prediction), "confusion")  # at most classes^2 rows
     tp = cm.where(F.col("actual") == F.col("predicted")).groupBy(F.col("actual").alias("cls")).agg(
         F.sum("n").alias("tp"))
     act = cm.groupBy(F.col("actual").alias("cls")).agg(F.sum("n").alias("support"))
@@ -58,7 +69,6 @@ def classification_report(df: DataFrame, label: str = "label", prediction: str =
         F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support")), F.lit(0.0)).alias("recall"),
     ).withColumn("f1", F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"),
                                               F.col("precision") + F.col("recall")), F.lit(0.0)))
-    per = per.cache()
     if names:
         name_col = F.coalesce(F.try_element_at(F.create_map(*[x for i, n in enumerate(names)
                                                                for x in (F.lit(i), F.lit(n))]),
@@ -85,8 +95,12 @@ def classification_report(df: DataFrame, label: str = "label", prediction: str =
     return out.select("row_name", *[F.round(c, 4).alias(c) for c in ("precision", "recall", "f1")], "support")
 
 
+def log_loss_row(label: str, probability: str, eps: float = 1e-15) -> Column:
+    """Cross-entropy of one row; the probability is clipped to [eps, 1-eps]."""
+    p = F.least(F.greatest(F.col(probability), F.lit(eps)), F.lit(1.0 - eps))
+    return F.when(F.col(label) == 1, -F.ln(p)).otherwise(-F.ln(1.0 - p))
+
+
 def log_loss(df: DataFrame, label: str = "label", probability: str = "p1", eps: float = 1e-15) -> DataFrame:
     """Mean binary cross-entropy of P(class 1), probabilities clipped to [eps, 1-eps]."""
-    p = F.least(F.greatest(F.col(probability), F.lit(eps)), F.lit(1.0 - eps))
-    ll = F.when(F.col(label) == 1, -F.ln(p)).otherwise(-F.ln(1.0 - p))
-    return df.agg(F.avg(ll).alias("log_loss"), F.count(F.lit(1)).alias("total"))
+    return df.agg(F.avg(log_loss_row(label, probability, eps)).alias("log_loss"), F.count(F.lit(1)).alias("total"))

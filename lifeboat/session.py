@@ -44,13 +44,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator and points at shared storage; it
-    is only read here. Where it is unset (tests, a laptop) a fresh temporary
-    folder is created and registered, so lineage cutting still works.
+    is only read here. Where it is unset, a local session (tests, a laptop) gets
+    a fresh temporary folder; on a cluster that is an error, because executors
+    would write parts to their own disks.
     """
     root = spark.conf.get(_CHECKPOINT_KEY, None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"{_CHECKPOINT_KEY} must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="lifeboat-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, root)
         spark.sparkContext.setCheckpointDir(root)

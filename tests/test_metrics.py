@@ -40,3 +40,20 @@ def test_log_loss(spark):
     df = spark.createDataFrame([(1, 0.8), (0, 0.4)], "label INT, p1 DOUBLE")
     import math
     assert metrics.log_loss(df).first()["log_loss"] == pytest.approx(-(math.log(0.8) + math.log(0.6)) / 2)
+
+
+def test_confusion_matrix_takes_its_classes_from_the_data(spark):
+    df = _pairs(spark, {(0, 0): 1, (0, 2): 2, (1, 1): 1, (0, 3): 1})
+    cm = {r["actual"]: tuple(r[f"pred_{c}"] for c in range(4)) for r in metrics.confusion_matrix(df).collect()}
+    assert cm == {0: (1, 0, 2, 1), 1: (0, 1, 0, 0), 2: (0, 0, 0, 0), 3: (0, 0, 0, 0)}
+
+
+def test_vote_needs_the_same_rows(spark):
+    from lifeboat.operators.vote import soft_vote
+    a = spark.createDataFrame([(1, 0.5), (2, 1.0)], "id LONG, p1 DOUBLE")
+    ok = {r["id"]: (r["p1"], r["prediction"]) for r in soft_vote([a, a]).collect()}
+    assert ok == {1: (0.5, 0), 2: (1.0, 1)}
+    twice = spark.createDataFrame([(1, 0.5), (1, 0.5)], "id LONG, p1 DOUBLE")
+    for other in (a.where("id = 1"), twice):
+        with pytest.raises(Exception, match="same rows"):
+            soft_vote([a, other]).collect()

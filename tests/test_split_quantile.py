@@ -84,3 +84,46 @@ def test_order_statistics_heavy_ties_at_both_ends(spark):
     # with room for the 42 distinct values the stuck item is resolved grouped instead
     got = quantile.order_statistics(df, "x", ranks, local_limit=50, accuracy=10)
     assert got == {r: srt[r] for r in ranks}
+
+
+def test_split_rejects_null_and_repeated_ids(spark):
+    import pytest
+    for rows in ([(None, 0), (1, 1)], [(1, 0), (1, 1), (2, 0)]):
+        with pytest.raises(ValueError):
+            split.stratified_split(spark.createDataFrame(rows, "id BIGINT, label INT"))
+
+
+def test_split_folds_and_weights_of_many_labels(spark):
+    d = spark.range(4_500).selectExpr("id", "concat('c', id % 1500) AS label")
+    a = split.stratified_split(d, ratio=0.5)
+    assert a.where("is_val = 1").groupBy("label").count().where("count <> 2").isEmpty()
+    f = split.stratified_folds(d, folds=3)
+    assert f.groupBy("label", "fold").count().where("count <> 1").isEmpty() and f.count() == 4_500
+    assert split.class_weights(d).where("weight <> 1.0").isEmpty()
+
+
+def test_split_keeps_rows_without_a_label_out_of_validation(spark):
+    d = spark.createDataFrame([(i, None if i > 5 else i % 2) for i in range(10)], "id BIGINT, label INT")
+    a = split.stratified_split(d, ratio=0.5)
+    assert a.where("label IS NULL AND is_val <> 0").isEmpty() and a.count() == 10
+
+
+def test_ranks_spread_a_hot_group(spark):
+    from lifeboat.operators.ranks import rank_in_groups
+    d = spark.range(3_000).selectExpr("CASE WHEN id % 10 < 9 THEN 'hot' WHEN id % 20 = 9 THEN NULL ELSE 'cold' END AS g", "(id * 7) % 3001 AS v")
+    got = rank_in_groups(d, ["g"], ["v"])
+    want = {}
+    for r in d.collect():
+        want.setdefault(r["g"], []).append(r["v"])
+    assert sorted((str(r["g"]), r["v"], r["rank"]) for r in got.collect()) == sorted(
+        (str(g), v, i) for g, vs in want.items() for i, v in enumerate(sorted(vs)))
+
+
+def test_split_takes_few_jobs(spark):
+    tracker, group = spark.sparkContext.statusTracker(), "split-jobs"
+    d = _labelled(spark, 300, 99)
+    spark.sparkContext.setJobGroup(group, "split")
+    split.stratified_split(d)
+    jobs = len(tracker.getJobIdsForGroup(group))
+    spark.sparkContext.setJobGroup("other", "other")
+    assert jobs <= 12, jobs
