@@ -318,7 +318,7 @@ def category_codes(spark, sf):
 def category_codes_distributed(spark, sf):
     # The large-domain path (range partition + offsets), forced by a zero literal limit.
     s = _subjects(spark, sf).withColumn("ticket_info", TX.ticket_token("ticket"))
-    return encode.category_codes(s, "ticket_info", literal_limit=0).select("id", "ticket_info")
+    return encode.category_codes(s, "ticket_info", map_values=0).select("id", "ticket_info")
 
 
 _EMB = ("B", "F", "H", "M")

@@ -1,8 +1,9 @@
 """Registered queries for models, model selection, sources and sinks.
 
-Model queries train on the labelled subjects (RF feature set, as the
-original's default; the MLP on its own set) and return predictions for the
-unlabelled subjects: a rows-only check, since no SQL engine trains forests.
+Model queries train on the labelled documents (counts over whole texts and the
+language against the quality label, which carries signal) with
+``config.QUERY_CONFIG`` and return predictions for the documents without a
+label: a rows-only check, since no SQL engine trains forests.
 The composable pieces that SQL can state (nearest-neighbour join, random
 Fourier map, soft vote, top-k leaderboard, CSV round trips, scoring) carry
 DuckDB oracles over the same tables.
@@ -10,7 +11,6 @@ DuckDB oracles over the same tables.
 
 from __future__ import annotations
 
-from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,12 +21,14 @@ from lifeboat.catalog import query
 from lifeboat.operators import knn as K
 from lifeboat.operators import vectors as V
 from lifeboat.operators.encode import category_codes
+from lifeboat.operators.layout import stage
 from lifeboat.operators.score import score_submission
 from lifeboat.operators.vote import leaderboard_topk, soft_vote
 from lifeboat.plans import features as FE
 from lifeboat.plans import run as RUN
 from lifeboat.plans import selection as S
 from lifeboat.plans.models import predict_unlabelled, train_model
+from lifeboat.plans.saved import load_scorer, save_vote
 from lifeboat.session import scratch_path
 from lifeboat.sources import bindings as B
 from lifeboat.sources import csv as CSV
@@ -37,10 +39,9 @@ from lifeboat.sources import sinks
 # =============================================================================
 
 
-def model_input(spark: SparkSession, sf: str, feature_set: str = "rf") -> DataFrame:
-    lab, unl = B.labelled_unlabelled(spark, sf)
-    d, _ = FE.prepare(lab, unl, feature_set)
-    return d.select("id", "label", "is_train", "features")
+def model_input(spark: SparkSession, sf: str) -> DataFrame:
+    d, _ = FE.prepare_numeric(B.document_subjects(spark, sf), ["n_chars", "n_words", "n_lines"], ["lang"])
+    return stage(d.select("id", "label", "is_train", "features"), "model-input")
 
 
 def _predictions(pred: DataFrame) -> DataFrame:
@@ -48,10 +49,10 @@ def _predictions(pred: DataFrame) -> DataFrame:
                        F.round("p1", 6).alias("p1"))
 
 
-def _model_query(family: str, feature_set: str = "rf"):
+def _model_query(family: str):
     def run(spark, sf):
-        data = model_input(spark, sf, feature_set)
-        return _predictions(predict_unlabelled(train_model(family, data), data))
+        data = model_input(spark, sf)
+        return _predictions(predict_unlabelled(train_model(family, data, C.QUERY_CONFIG), data))
     run.__name__ = f"{family}_q"
     return run
 
@@ -62,7 +63,7 @@ query("xgboost")(_model_query("xgboost"))
 query("logistic_regression")(_model_query("logistic_regression"))
 query("svm_rbf")(_model_query("svm"))
 query("knn")(_model_query("knn"))
-query("mlp")(_model_query("mlp", "mlp"))
+query("mlp")(_model_query("mlp"))
 
 
 _SEARCH_SCHEMA = T.StructType([T.StructField("ord", T.IntegerType()), T.StructField("params", T.StringType()),
@@ -72,7 +73,7 @@ _SEARCH_SCHEMA = T.StructType([T.StructField("ord", T.IntegerType()), T.StructFi
 @query("grid_search")
 def grid_search_q(spark, sf):
     """V3: the gradient-boosting grid with its 3-fold CV accuracy per combination."""
-    f = train_model("gradient_boosting", model_input(spark, sf))
+    f = train_model("gradient_boosting", model_input(spark, sf), C.QUERY_CONFIG)
     rows = [(i, str(sorted(p.items())), float(a)) for i, (p, a) in enumerate(f.search)]
     return spark.createDataFrame(rows, _SEARCH_SCHEMA)
 
@@ -91,15 +92,14 @@ def _history(spark, f, kept_step: int) -> DataFrame:
 @query("early_stop")
 def early_stop_q(spark, sf):
     """V5: validation log-loss of every boosting prefix, the kept prefix flagged."""
-    cfg = C.TrainingConfig(use_xgboost_package=False)  # the prefix search itself, package or not
-    f = train_model("xgboost", model_input(spark, sf), cfg)
+    f = train_model("xgboost", model_input(spark, sf), C.QUERY_CONFIG)
     return _history(spark, f, f.params["rounds"])
 
 
 @query("training_history")
 def training_history_q(spark, sf):
     """E5: per-chunk train/validation loss and accuracy of the MLP."""
-    f = train_model("mlp", model_input(spark, sf, "mlp"))
+    f = train_model("mlp", model_input(spark, sf), C.QUERY_CONFIG)
     best = max(((s, a) for s, sp, _, a in f.history if sp == "val"), key=lambda t: (t[1], -t[0]))[0]
     return _history(spark, f, best)
 
@@ -107,7 +107,7 @@ def training_history_q(spark, sf):
 @query("seed_sweep")
 def seed_sweep_q(spark, sf):
     """V4: the forest once per split seed; leaderboard with the winner flagged."""
-    best, fits = S.seed_sweep("random_forest", model_input(spark, sf))
+    best, fits = S.seed_sweep("random_forest", model_input(spark, sf), C.QUERY_CONFIG)
     board = S.leaderboard(spark, fits)
     return board.withColumn("best", F.col("seed") == F.lit(best.seed))
 
@@ -115,14 +115,14 @@ def seed_sweep_q(spark, sf):
 @query("rfxgb")
 def rfxgb_q(spark, sf):
     """M4: best forest and best booster over the seeds, soft-voted."""
-    pred, _, _, _ = S.rfxgb(model_input(spark, sf))
+    pred, _, _, _ = S.rfxgb(model_input(spark, sf), C.QUERY_CONFIG)
     return _predictions(pred)
 
 
 @query("ensemble_top3")
 def ensemble_top3_q(spark, sf):
     """Six families, the three best by validation accuracy, soft-voted."""
-    pred, _, _, _ = S.ensemble_top3(model_input(spark, sf))
+    pred, _, _, _ = S.ensemble_top3(model_input(spark, sf), C.QUERY_CONFIG)
     return _predictions(pred)
 
 
@@ -135,19 +135,23 @@ def run_pipeline_q(spark, sf):
         F.col("id").alias("PassengerId"), F.col("label").alias("Survived"))
     truth_path = scratch_path(spark, "truth")
     truth.write.mode("overwrite").option("header", True).csv(truth_path)
-    res = RUN.run(spark, lab, unl, "randomforest", scratch_path(spark, "run"), ground_truth=truth_path)
+    res = RUN.run(spark, lab, unl, "randomforest", scratch_path(spark, "run"), cfg=C.QUERY_CONFIG, ground_truth=truth_path)
     return res.table(spark).drop("submission", "model")
 
 
-@query("model_sink")
+@query("model_sink", """SELECT doc_id AS id, true AS same, true AS in_range FROM documents
+WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality IS NOT NULL)""")
 def model_sink_q(spark, sf):
-    """Persist the fitted forest, load it back and score the unlabelled rows."""
+    """Save a vote of a forest and a logistic regression, load it back, and compare
+    what the original and the loaded models predict for every unlabelled row."""
     data = model_input(spark, sf)
-    f = train_model("random_forest", data)
-    path = sinks.save_model(f.model, scratch_path(spark, "model"))
-    loaded = sinks.load_model(RandomForestClassificationModel, path)
-    out = loaded.transform(data.where(~F.col("is_train")))
-    return out.select("id", F.col("prediction").cast("int").alias("prediction"))
+    fits = [train_model(m, data, C.QUERY_CONFIG) for m in ("random_forest", "logistic_regression")]
+    loaded = load_scorer(spark, save_vote(fits, scratch_path(spark, "model"), spark))
+    rows = data.where(~F.col("is_train")).select("id", "features")
+    before = soft_vote([f.predict(rows) for f in fits]).select("id", F.col("p1").alias("p"), F.col("prediction").alias("y"))
+    both = loaded(rows).join(before, "id")
+    return both.select("id", ((F.abs(F.col("p1") - F.col("p")) < 1e-9) & (F.col("prediction") == F.col("y"))).alias("same"),
+                       F.col("p1").between(0.0, 1.0).alias("in_range"))
 
 
 # =============================================================================

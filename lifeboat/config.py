@@ -96,8 +96,8 @@ MLP_NUMERIC = (
 )
 MLP_DUMMIES = ("embarked", "title", "cabin_deck", "pclass")
 
-# Grids searched by the tuned trainers (reference sizes; trimmed defaults below).
-GB_GRID_FULL = {
+# Grids searched by the tuned trainers.
+GB_GRID = {
     "maxIter": (300, 500, 800),
     "stepSize": (0.01, 0.02, 0.05),
     "maxDepth": (3, 4, 5),
@@ -116,12 +116,13 @@ class TrainingConfig:
     seed: int = 45
     seeds: tuple[int, ...] = SEEDS
     model_seed: int = 1
+    fit_partitions: int = 16  # partitions a model is fitted on; raise it for large tables
     # forests
-    rf_trees: int = 100  # reference: 1000 (opt-in)
+    rf_trees: int = 1000
     rf_max_depth: int = 12
     rf_min_instances: int = 6
     tree_memory_mb: int = 1024  # per-pass node statistics; more nodes per pass over the data
-    age_forest_trees: int = 50  # reference: 2000 (opt-in)
+    age_forest_trees: int = 2000
     age_forest_depth: int = 10
     # boosting (xgboost-like settings)
     xgb_rounds: int = 600
@@ -130,12 +131,7 @@ class TrainingConfig:
     xgb_subsample: float = 0.9
     xgb_feature_fraction: str = "0.8"
     early_stopping_rounds: int = 50
-    use_xgboost_package: bool = True  # xgboost.spark when importable, else GBTClassifier
-    # gradient boosting grid (trimmed default; GB_GRID_FULL is opt-in)
-    gb_grid: dict = field(default_factory=lambda: {
-        "maxIter": (30,), "stepSize": (0.05, 0.1), "maxDepth": (3, 4),
-        "minInstancesPerNode": (1,), "subsamplingRate": (1.0,),
-    })
+    gb_grid: dict = field(default_factory=lambda: dict(GB_GRID))
     cv_folds: int = 3
     cv_parallelism: int = 4
     # logistic regression
@@ -144,12 +140,20 @@ class TrainingConfig:
     rff_dim: int = 64
     svm_max_iter: int = 100
     svm_tol: float = 1e-4
-    svm_grid: dict = field(default_factory=lambda: {"C": (0.5, 2.0), "gamma": ("scale",)})  # full: SVM_GRID
+    svm_grid: dict = field(default_factory=lambda: dict(SVM_GRID))
     # mlp
     mlp_hidden: tuple[int, ...] = (256, 128, 64)
-    mlp_chunk_iters: int = 10
-    mlp_max_chunks: int = 10
-    patience: int = 3  # chunks without improvement
+    mlp_chunk_iters: int = 1
+    mlp_max_chunks: int = 250
+    patience: int = 30  # chunks without improvement
     # knn
-    knn_block_rows: int = 20000
     knn_grid: dict = field(default_factory=lambda: dict(KNN_GRID))
+
+
+# What the registered model queries train with: the same families, rules and searches on
+# grids and tree counts that a driver run of all queries can afford (README, "Sizes").
+QUERY_CONFIG = TrainingConfig(
+    rf_trees=100, age_forest_trees=50, xgb_rounds=200, early_stopping_rounds=20,
+    gb_grid={"maxIter": (30,), "stepSize": (0.05, 0.1), "maxDepth": (3, 4), "minInstancesPerNode": (1,), "subsamplingRate": (1.0,)},
+    svm_grid={"C": (0.5, 2.0), "gamma": ("scale",)}, mlp_chunk_iters=10, mlp_max_chunks=10, patience=3,
+)

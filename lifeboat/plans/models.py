@@ -18,6 +18,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Callable
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -36,7 +37,7 @@ from lifeboat import config as C
 from lifeboat.operators import knn as K
 from lifeboat.operators import metrics, split
 from lifeboat.operators import vectors as V
-from lifeboat.operators.layout import spread
+from lifeboat.operators.layout import spread, stage
 from lifeboat.session import checkpoint_root
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -68,27 +69,33 @@ class Fitted:
 
 # --- shared helpers ----------------------------------------------------------------
 
-def _ml_scorer(model, prep: Callable[[DataFrame], DataFrame] | None = None) -> Scorer:
+def ml_scorer(model, prep: Callable[[DataFrame], DataFrame] | None = None) -> Scorer:
     """(id, prediction int, p1) from a Spark ML classification model."""
     def score(df: DataFrame) -> DataFrame:
         d = prep(df) if prep else df
         out = model.transform(d)
-        return out.select("id", F.col("prediction").cast("int").alias("prediction"),
+        return out.select("id", *_label_of(df), F.col("prediction").cast("int").alias("prediction"),
                           vector_to_array("probability")[1].alias("p1"))
     return score
 
 
-def split_labelled(data: DataFrame, seed: int, ratio: float) -> tuple[DataFrame, DataFrame]:
-    """V1 on the labelled rows: (train, validation), persisted for the fit's many scans."""
+def _label_of(df: DataFrame) -> list[str]:
+    """Scorers hand the label on where there is one, so validating needs no join."""
+    return ["label"] if "label" in df.columns else []
+
+
+def split_labelled(data: DataFrame, seed: int, ratio: float,
+                   partitions: int = C.TrainingConfig.fit_partitions) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """V1 on the labelled rows: (train, validation, the persisted table of both, to free after the fit)."""
     lab = data.where(F.col("is_train")).select("id", F.col("label").cast("double").alias("label"), "features")
-    lab = spread(lab, lab.count())
-    sp = split.stratified_split(lab, seed=seed, ratio=ratio).persist(StorageLevel.MEMORY_AND_DISK)
-    return sp.where(F.col("is_val") == 0).drop("is_val"), sp.where(F.col("is_val") == 1).drop("is_val")
+    lab = stage(lab, "labelled")
+    sp = spread(split.stratified_split(lab, seed=seed, ratio=ratio), partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    return sp.where(F.col("is_val") == 0).drop("is_val"), sp.where(F.col("is_val") == 1).drop("is_val"), sp
 
 
 def validate(scorer: Scorer, val: DataFrame) -> tuple[float, DataFrame]:
     """E1 on the validation rows: accuracy in % and the scored rows."""
-    scored = scorer(val).join(val.select("id", "label"), "id")
+    scored = scorer(val)
     acc = metrics.accuracy(scored, "label", "prediction").first()["accuracy"]
     return float(acc or 0.0), scored.select("id", F.col("label").cast("int").alias("label"),
                                             "prediction", "p1")
@@ -104,7 +111,7 @@ def fit_random_forest(train: DataFrame, cfg: C.TrainingConfig, seed: int) -> tup
         maxMemoryInMB=cfg.tree_memory_mb, cacheNodeIds=True)
     checkpoint_root(train.sparkSession)  # node-id cache checkpoints go to the shared folder
     model = rf.fit(train)
-    return _ml_scorer(model), model, {"numTrees": cfg.rf_trees, "maxDepth": cfg.rf_max_depth}
+    return ml_scorer(model), model, {"numTrees": cfg.rf_trees, "maxDepth": cfg.rf_max_depth}
 
 
 # --- M2 gradient boosting under grid search (V2, V3) ----------------------------------
@@ -127,7 +134,7 @@ def fit_gradient_boosting(train: DataFrame, cfg: C.TrainingConfig, seed: int):
     search = [({p.name: v for p, v in m.items()}, float(a)) for m, a in zip(maps, cvm.avgMetrics)]
     best_params = max(enumerate(search), key=lambda t: (t[1][1], -t[0]))[1][0]
     folded.unpersist()
-    return _ml_scorer(cvm.bestModel), cvm.bestModel, best_params, search
+    return ml_scorer(cvm.bestModel), cvm.bestModel, best_params, search
 
 
 # --- M3 boosting with early stopping (V5) --------------------------------------------
@@ -146,7 +153,7 @@ def early_stop_index(losses, patience: int) -> int:
 
 def fit_boosting_early_stop(train: DataFrame, val: DataFrame, cfg: C.TrainingConfig, seed: int):
     """Boost up to ``xgb_rounds`` trees, read the validation log-loss of every prefix in
-    one pass (``evaluateEachIteration``), keep the best prefix under the patience rule.
+    one pass (``evaluateEachIteration``, whose logistic loss is twice the log-loss), keep the best prefix under the patience rule.
 
     Tree building is deterministic per (seed, iteration), so a shorter run is a
     prefix of a longer one: the search boosts 2 x patience rounds, doubles only
@@ -158,43 +165,21 @@ def fit_boosting_early_stop(train: DataFrame, val: DataFrame, cfg: C.TrainingCon
                              maxDepth=cfg.xgb_depth, subsamplingRate=cfg.xgb_subsample,
                              featureSubsetStrategy=cfg.xgb_feature_fraction, minInstancesPerNode=1,
                              lossType="logistic", seed=seed)
+    checkpoint_root(train.sparkSession)
     patience = cfg.early_stopping_rounds
     rounds = min(cfg.xgb_rounds, max(2 * patience, 1))
     while True:
         # Boost a prefix first and grow it only while the stop rule has not fired
         # inside it: the prefix of a longer run is the same trees.
         full = gbt(rounds).fit(train)
-        val_loss = list(full.evaluateEachIteration(val))
+        val_loss = [v / 2 for v in full.evaluateEachIteration(val)]
         best = early_stop_index(val_loss, patience)
         if best + patience < rounds or rounds >= cfg.xgb_rounds:
             break
         rounds = min(cfg.xgb_rounds, 2 * rounds)
     model = full if best + 1 == rounds else gbt(best + 1).fit(train)
     history = [(i + 1, "val", float(v), None) for i, v in enumerate(val_loss)]
-    return _ml_scorer(model), model, {"rounds": best + 1}, history
-
-
-try:  # the xgboost package's own Spark estimator, when the cluster has it installed
-    from xgboost.spark import SparkXGBClassifier
-except ImportError:  # pragma: no cover - not installed here
-    SparkXGBClassifier = None
-
-
-def fit_xgboost_package(train: DataFrame, val: DataFrame, cfg: C.TrainingConfig, seed: int):
-    """M3 with the xgboost package: the same settings as the original (rounds, step,
-    depth, row and column subsampling, L2 = 1, log-loss, early stopping on the
-    validation rows), distributed by its Spark estimator."""
-    data = (train.withColumn("_is_val", F.lit(False))
-            .unionByName(val.withColumn("_is_val", F.lit(True))))
-    est = SparkXGBClassifier(
-        features_col="features", label_col="label", validation_indicator_col="_is_val",
-        n_estimators=cfg.xgb_rounds, learning_rate=cfg.xgb_step, max_depth=cfg.xgb_depth,
-        subsample=cfg.xgb_subsample, colsample_bytree=float(cfg.xgb_feature_fraction), reg_lambda=1.0,
-        reg_alpha=0.0, min_child_weight=1.0, eval_metric="logloss",
-        early_stopping_rounds=cfg.early_stopping_rounds, random_state=seed,
-        num_workers=max(1, data.sparkSession.sparkContext.defaultParallelism))
-    model = est.fit(data)
-    return _ml_scorer(model), model, {"package": "xgboost"}, []
+    return ml_scorer(model), model, {"rounds": best + 1}, history
 
 
 # --- M5 logistic regression (V6) ---------------------------------------------------
@@ -207,7 +192,7 @@ def fit_logistic(train: DataFrame, cfg: C.TrainingConfig, seed: int):
                             regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False,
                             maxIter=cfg.lr_max_iter, family="binomial")
     model = lr.fit(weighted)
-    return _ml_scorer(model), model, {"regParam": 1.0 / max(n, 1)}
+    return ml_scorer(model), model, {"regParam": 1.0 / max(n, 1)}
 
 
 # --- M6 RBF SVM by random Fourier features --------------------------------------------
@@ -236,13 +221,21 @@ def _fit_svm_once(train: DataFrame, c: float, gamma, cfg: C.TrainingConfig, seed
                                predictionCol="_pp", rawPredictionCol="_pr", probabilityCol="_prob").fit(margin)
     mapped.unpersist()
 
+    parts = {"svm": svm, "platt": platt, "means": means, "stds": stds, "w": w, "b": b}
+    return svm_scorer(parts), parts, {"C": c, "gamma": g}
+
+
+def svm_scorer(parts: dict) -> Scorer:
+    svm, platt, means, stds = (parts[k] for k in ("svm", "platt", "means", "stds"))
+    w, b = np.asarray(parts["w"]), np.asarray(parts["b"])
+
     def score(df: DataFrame) -> DataFrame:
-        z = svm.transform(_svm_transform(df.select("id", "features"), means, stds, w, b))
-        z = z.select("id", F.col("prediction").cast("int").alias("prediction"),
+        z = svm.transform(_svm_transform(df.select("id", "features", *_label_of(df)), means, stds, w, b))
+        z = z.select("id", *_label_of(df), F.col("prediction").cast("int").alias("prediction"),
                      array_to_vector(F.array(vector_to_array("rawPrediction")[1])).alias("margin"))
-        return platt.transform(z).select("id", "prediction", vector_to_array("_prob")[1].alias("p1"))
+        return platt.transform(z).select("id", *_label_of(df), "prediction", vector_to_array("_prob")[1].alias("p1"))
 
-    return score, {"svm": svm, "platt": platt, "means": means, "stds": stds, "w": w, "b": b}, {"C": c, "gamma": g}
+    return score
 
 
 def run_parallel(tasks, parallelism: int) -> list:
@@ -306,7 +299,7 @@ def fit_knn(train: DataFrame, cfg: C.TrainingConfig, seed: int):
             means, stds = V.fit_array_scaler(tr.select(vector_to_array("features").alias("x")), "x")
             trp, tep = _scaled_points(tr, means, stds), _scaled_points(te, means, stds)
             # every (k, weighting) is scored from the same lists in one aggregate
-            nn = K.neighbours(trp, tep, kmax, p=p).join(te.select("id", "label"), "id")
+            nn = K.neighbours(trp, tep, kmax, p=p)
             hits = [F.avg((K.vote_columns("nn", k, w)[0] == F.col("label")).cast("double")).alias(f"a{i}")
                     for i, (k, w) in enumerate(combos)]
             row = nn.agg(*hits).first()
@@ -325,13 +318,17 @@ def fit_knn(train: DataFrame, cfg: C.TrainingConfig, seed: int):
               for (k, p, w) in order]
     best = max(enumerate(search), key=lambda t: (t[1][1], -t[0]))[1][0]
     means, stds = V.fit_array_scaler(train.select(vector_to_array("features").alias("x")), "x")
-    ref = _scaled_points(train, means, stds).persist(StorageLevel.MEMORY_AND_DISK)
+    ref = stage(_scaled_points(train, means, stds), "knn-points")
+
+    parts = {"reference": ref, "means": means, "stds": stds, **best}
+    return knn_scorer(parts), parts, best, search
 
-    def score(df: DataFrame) -> DataFrame:
-        q = _scaled_points(df.select("id", "features"), means, stds)
-        return K.vote(K.neighbours(ref, q, best["k"], p=best["p"]), best["k"], best["weights"])
 
-    return score, {"reference": ref, "means": means, "stds": stds, **best}, best, search
+def knn_scorer(parts: dict) -> Scorer:
+    def score(df: DataFrame) -> DataFrame:
+        q = _scaled_points(df.select("id", "features", *_label_of(df)), parts["means"], parts["stds"])
+        return K.vote(K.neighbours(parts["reference"], q, parts["k"], p=parts["p"]), parts["k"], parts["weights"])
+    return score
 
 
 # --- M8 multilayer perceptron with chunked early stopping -------------------------------
@@ -346,9 +343,9 @@ def fit_mlp(train: DataFrame, val: DataFrame, cfg: C.TrainingConfig, seed: int):
     def prep(df):
         return df.withColumn("features", array_to_vector(V.scale_array(vector_to_array("features"), means, stds)))
 
-    tr = prep(train).persist(StorageLevel.MEMORY_AND_DISK)
-    d = len(means)
-    layers = [d, *cfg.mlp_hidden, 2]
+    rows = prep(train.withColumn("part", F.lit("train")).unionByName(val.withColumn("part", F.lit("val")))).persist(StorageLevel.MEMORY_AND_DISK)
+    tr = rows.where(F.col("part") == "train")
+    layers = [len(means), *cfg.mlp_hidden, 2]
     weights = None
     best, best_acc, since = None, -1.0, 0
     history = []
@@ -359,21 +356,28 @@ def fit_mlp(train: DataFrame, val: DataFrame, cfg: C.TrainingConfig, seed: int):
             kw["initialWeights"] = weights
         model = MultilayerPerceptronClassifier(**kw).fit(tr)
         weights = model.weights
-        scorer = _ml_scorer(model, prep)
-        acc, scored = validate(scorer, val)
-        loss = metrics.log_loss(scored, "label", "p1").first()["log_loss"]
-        tr_acc, tr_scored = validate(_ml_scorer(model), tr)
-        tr_loss = metrics.log_loss(tr_scored, "label", "p1").first()["log_loss"]
+        # loss and accuracy of both parts in one pass over the scaled rows
+        scored = model.transform(rows).select("part", "label", "prediction", vector_to_array("probability")[1].alias("p1"))
+        got = {r["part"]: r for r in scored.groupBy("part").agg(
+            (F.avg((F.col("label") == F.col("prediction")).cast("double")) * 100).alias("acc"),
+            F.avg(metrics.log_loss_row("label", "p1")).alias("loss")).collect()}
         step = (chunk + 1) * cfg.mlp_chunk_iters
-        history += [(step, "train", float(tr_loss), tr_acc), (step, "val", float(loss), acc)]
+        history += [(step, part, float(got[part]["loss"]), float(got[part]["acc"])) for part in ("train", "val") if part in got]
+        acc = float(got["val"]["acc"]) if "val" in got else 0.0
         if acc > best_acc:
             best, best_acc, since = model, acc, 0
         else:
             since += 1
             if since >= cfg.patience:
                 break
-    tr.unpersist()
-    return _ml_scorer(best, prep), best, {"layers": layers}, history
+    rows.unpersist()
+    parts = {"mlp": best, "means": means, "stds": stds}
+    return mlp_scorer(parts), parts, {"layers": layers}, history
+
+
+def mlp_scorer(parts: dict) -> Scorer:
+    return ml_scorer(parts["mlp"], lambda df: df.withColumn("features", array_to_vector(
+        V.scale_array(vector_to_array("features"), parts["means"], parts["stds"]))))
 
 
 # --- harness -----------------------------------------------------------------------
@@ -392,14 +396,12 @@ def train_model(name: str, data: DataFrame, cfg: C.TrainingConfig | None = None,
     seed = cfg.seed if seed is None else seed
     if name not in MODEL_FAMILIES:
         raise ValueError(f"Unsupported model: {name!r} (expected one of {MODEL_FAMILIES})")
-    train, val = split_labelled(data, seed, cfg.val_ratio)
+    train, val, split_rows = split_labelled(data, seed, cfg.val_ratio, cfg.fit_partitions)
     search, history = [], []
     if name == "random_forest":
         scorer, model, params = fit_random_forest(train, cfg, seed)
     elif name == "gradient_boosting":
         scorer, model, params, search = fit_gradient_boosting(train, cfg, seed)
-    elif name == "xgboost" and cfg.use_xgboost_package and SparkXGBClassifier is not None:
-        scorer, model, params, history = fit_xgboost_package(train, val, cfg, seed)
     elif name == "xgboost":
         scorer, model, params, history = fit_boosting_early_stop(train, val, cfg, seed)
     elif name == "logistic_regression":
@@ -410,7 +412,9 @@ def train_model(name: str, data: DataFrame, cfg: C.TrainingConfig | None = None,
         scorer, model, params, search = fit_knn(train, cfg, seed)
     else:
         scorer, model, params, history = fit_mlp(train, val, cfg, seed)
-    acc, scored = validate(scorer, val)
+    scored = stage(scorer(val), "validation")
+    acc, scored = validate(lambda _: scored, val)
+    split_rows.unpersist()
     return Fitted(name, seed, acc, scorer, model, params, history, search, scored)
 
 
