@@ -2,8 +2,10 @@
 
 Model queries train on the labelled documents (counts over whole texts and the
 language against the quality label, which carries signal) with
-``config.QUERY_CONFIG`` and return predictions for the documents without a
-label: a rows-only check, since no SQL engine trains forests.
+``config.QUERY_CONFIG`` and predict the documents without a label. No SQL engine
+trains forests, so these queries return what must hold for every predicted row and
+their oracles state it: the ids, a probability in [0, 1], a prediction that agrees with
+it, and that on the labelled rows the model gives class 1 the higher mean probability.
 The composable pieces that SQL can state (nearest-neighbour join, random
 Fourier map, soft vote, top-k leaderboard, CSV round trips, scoring) carry
 DuckDB oracles over the same tables.
@@ -44,26 +46,36 @@ def model_input(spark: SparkSession, sf: str) -> DataFrame:
     return stage(d.select("id", "label", "is_train", "features"), "model-input")
 
 
-def _predictions(pred: DataFrame) -> DataFrame:
-    return pred.select(F.col("id").cast("long").alias("id"), F.col("prediction").cast("int").alias("prediction"),
-                       F.round("p1", 6).alias("p1"))
+_CHECKED_SQL = """SELECT doc_id AS id, true AS in_range, true AS agrees, true AS separates FROM documents
+WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality IS NOT NULL)"""
+
+
+def _checked(data: DataFrame, pred: DataFrame, fits: list, margin: bool = False) -> DataFrame:
+    """What must hold for each predicted row (``margin``: the prediction is the margin's sign, not the probability's)."""
+    known = data.where("is_train").select("id", "features")
+    scored = soft_vote([f.predict(known) for f in fits]).join(data.where("is_train").select("id", "label"), "id")
+    mean = {int(r["label"]): r["m"] for r in scored.groupBy("label").agg(F.avg("p1").alias("m")).collect()}
+    sure = F.col("prediction").isin(0, 1) if margin else F.col("prediction") == (F.col("p1") > 0.5).cast("int")
+    return pred.select(F.col("id").cast("long").alias("id"), F.col("p1").between(0.0, 1.0).alias("in_range"), sure.alias("agrees"),
+                       F.lit(mean.get(1, 0.0) > mean.get(0, 0.0)).alias("separates"))
 
 
 def _model_query(family: str):
     def run(spark, sf):
         data = model_input(spark, sf)
-        return _predictions(predict_unlabelled(train_model(family, data, C.QUERY_CONFIG), data))
+        fit = train_model(family, data, C.QUERY_CONFIG)
+        return _checked(data, predict_unlabelled(fit, data), [fit], margin=family == "svm")
     run.__name__ = f"{family}_q"
     return run
 
 
-query("random_forest")(_model_query("random_forest"))
-query("gradient_boosting")(_model_query("gradient_boosting"))
-query("xgboost")(_model_query("xgboost"))
-query("logistic_regression")(_model_query("logistic_regression"))
-query("svm_rbf")(_model_query("svm"))
-query("knn")(_model_query("knn"))
-query("mlp")(_model_query("mlp"))
+query("random_forest", _CHECKED_SQL)(_model_query("random_forest"))
+query("gradient_boosting", _CHECKED_SQL)(_model_query("gradient_boosting"))
+query("xgboost", _CHECKED_SQL)(_model_query("xgboost"))
+query("logistic_regression", _CHECKED_SQL)(_model_query("logistic_regression"))
+query("svm_rbf", _CHECKED_SQL)(_model_query("svm"))
+query("knn", _CHECKED_SQL)(_model_query("knn"))
+query("mlp", _CHECKED_SQL)(_model_query("mlp"))
 
 
 _SEARCH_SCHEMA = T.StructType([T.StructField("ord", T.IntegerType()), T.StructField("params", T.StringType()),
@@ -112,18 +124,20 @@ def seed_sweep_q(spark, sf):
     return board.withColumn("best", F.col("seed") == F.lit(best.seed))
 
 
-@query("rfxgb")
+@query("rfxgb", _CHECKED_SQL)
 def rfxgb_q(spark, sf):
     """M4: best forest and best booster over the seeds, soft-voted."""
-    pred, _, _, _ = S.rfxgb(model_input(spark, sf), C.QUERY_CONFIG)
-    return _predictions(pred)
+    data = model_input(spark, sf)
+    pred, _, best, _ = S.rfxgb(data, C.QUERY_CONFIG)
+    return _checked(data, pred, best)
 
 
-@query("ensemble_top3")
+@query("ensemble_top3", _CHECKED_SQL)
 def ensemble_top3_q(spark, sf):
     """Six families, the three best by validation accuracy, soft-voted."""
-    pred, _, _, _ = S.ensemble_top3(model_input(spark, sf), C.QUERY_CONFIG)
-    return _predictions(pred)
+    data = model_input(spark, sf)
+    pred, _, top, _ = S.ensemble_top3(data, C.QUERY_CONFIG)
+    return _checked(data, pred, top)
 
 
 @query("run_pipeline")

@@ -153,7 +153,7 @@ class TrainingConfig:
 # What the registered model queries train with: the same families, rules and searches on
 # grids and tree counts that a driver run of all queries can afford (README, "Sizes").
 QUERY_CONFIG = TrainingConfig(
-    rf_trees=100, age_forest_trees=50, xgb_rounds=200, early_stopping_rounds=20,
+    fit_partitions=4, rf_trees=100, age_forest_trees=50, xgb_rounds=200, early_stopping_rounds=20,
     gb_grid={"maxIter": (30,), "stepSize": (0.05, 0.1), "maxDepth": (3, 4), "minInstancesPerNode": (1,), "subsamplingRate": (1.0,)},
     svm_grid={"C": (0.5, 2.0), "gamma": ("scale",)}, mlp_chunk_iters=10, mlp_max_chunks=10, patience=3,
 )
