@@ -42,11 +42,11 @@ from lifeboat.llm.common import map_columns, text_or_empty
 
 GRAM = 4
 RUN = 64                        # windows of a segment, at most
-SHARD_WORDS = 2_000_000         # words of the segments that a shard gets, about
+SHARD_WORDS = 1_000_000         # words of the segments that a shard gets, about
 HOT_SHARE = 100_000             # a gram is hot when it anchors more than 1 / HOT_SHARE of the segments
 HOT_LEAST = 200
-SLICE_BYTES = 4_000_000         # text that is hashed at once
-FLUSH_SEGMENTS = 400_000        # segments a map task holds before it packs them
+SLICE_BYTES = 1_000_000         # text that is hashed at once
+FLUSH_SEGMENTS = 200_000        # segments a map task holds before it packs them
 
 _B = 0x9E3779B97F4A7C15
 _U = np.uint64
@@ -156,7 +156,7 @@ def _pack(text: list[bytes], anchor: np.ndarray, again: np.ndarray, id_: np.ndar
     nums = b"".join([(anchor >> _U(32)).astype(np.uint32).tobytes(), np.diff(id_, prepend=0).astype(np.int64).tobytes(),
                      np.diff(row, prepend=0).astype(np.int64).tobytes(), start.astype(np.int64).tobytes(),
                      again.astype(np.uint8).tobytes()])
-    return zstandard.ZstdCompressor(level=3).compress(head + nums + b"\n".join(text))
+    return zstandard.ZstdCompressor(level=6).compress(head + nums + b"\n".join(text))
 
 
 def _unpack(blob: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -326,7 +326,7 @@ def _hot_anchors(rows: DataFrame, window: int) -> tuple[int, np.ndarray]:
                 n_words += int(n.sum()) + (window - 1) * len(n)
                 n_segments += len(n)
                 met = np.concatenate([met, anchor])
-            if len(met) > 2_000_000:
+            if len(met) > 1_000_000:
                 yield out(met)
                 met = none
         yield out(met)
