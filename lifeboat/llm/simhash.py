@@ -155,14 +155,17 @@ def links(fps: DataFrame, most: int = 3, bits: tuple[int, ...] = BLOCK_BITS) ->
 
 def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 3,
                     most: int = 3) -> DataFrame:
-    """One row per input row: row_id, id, fp, component_id (smallest id reachable)."""
+    """One row per input row: row_id, id, fp, component_id (smallest id reachable), component (smallest fingerprint reachable).
+
+    ``component`` names the component; ``component_id`` may be null or shared, as ids may be null or repeated.
+    """
     own = stage(fingerprints(docs, text_col, id_col, shingle), "fingerprints")
     parts = connected_components(links(own.select("fp").distinct(), most))
     fps = (own.groupBy("fp").agg(F.min("id").alias("least"))
            .join(parts.withColumnRenamed("node", "fp"), "fp", "left")
            .withColumn("component", F.coalesce("component", "fp")))
-    named = fps.select("fp", F.min("least").over(Window.partitionBy("component")).alias("component_id"))
-    return own.join(named, "fp").select("row_id", "id", "fp", "component_id")
+    named = fps.select("fp", "component", F.min("least").over(Window.partitionBy("component")).alias("component_id"))
+    return own.join(named, "fp").select("row_id", "id", "fp", "component_id", "component")
 
 
 def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 3, most: int = 3) -> DataFrame:
@@ -170,8 +173,8 @@ def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sh
     row = free_name(docs, "row_id")
     found = stage(near_duplicates(docs, text_col, id_col, shingle, most), "components")
     # Rows with the smallest id are few per component (one, but for repeated ids), so this groups little.
-    first = found.filter("id <=> component_id").groupBy("component_id", "fp").agg(F.min("row_id").alias("r"))
-    keep = first.groupBy("component_id").agg(F.min("r").alias("r")).select(F.col("r").alias(row))
+    first = found.filter("id <=> component_id").groupBy("component", "fp").agg(F.min("row_id").alias("r"))
+    keep = first.groupBy("component").agg(F.min("r").alias("r")).select(F.col("r").alias(row))
     gone = stage(found.select(F.col("row_id").alias(row)).join(keep, row, "left_anti"), "near-copies")
     return docs.withColumn(row, F.monotonically_increasing_id()).join(gone, row, "left_anti").drop(row)
 

@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
-from llm_helpers import edge_docs, empty_docs, plain
+from llm_helpers import edge_docs, empty_docs, plain, prose
 from pyspark.sql import functions as F
 
 from lifeboat.llm import components, packing, simhash, substring_dedup
@@ -60,6 +60,14 @@ def test_simhash_components(spark, source):
     assert kept.columns == df.columns and kept.count() == len({classes[r["fp"] & (1 << 64) - 1] for r in got})
 
 
+def test_simhash_keeps_a_row_of_each_component_under_null_and_repeated_ids(spark):
+    texts = [prose(k, 60) for k in range(8)]
+    rows = [(None, t) for t in texts[:5]] + [(None, texts[0]), (3, texts[5]), (3, texts[6]), (3, texts[6]), (4, texts[7]), (9, texts[7])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    want = Counter([(None, t) for t in texts[:5]] + [(3, texts[5]), (3, texts[6]), (4, texts[7])])
+    assert Counter(plain(simhash.keep_one(df))) == want
+
+
 def test_simhash_empty(spark):
     assert simhash.near_duplicates(empty_docs(spark)).count() == 0 == simhash.keep_one(empty_docs(spark)).count()
 
