@@ -93,6 +93,18 @@ def test_decontamination_edges(spark):
     assert decontaminate.leaks(df, bench.limit(0)).count() == 0 == decontaminate.leaks(empty_docs(spark), bench).count()
 
 
+def test_decontamination_of_long_items_in_long_texts(spark):
+    item, rng = prose(5, 400), np.random.default_rng(0)
+    words = item.split()
+    edited = " ".join(w if not 150 <= i < 220 else f"other{i}" for i, w in enumerate(words))
+    place = [8_192 - 200, 8_192 - 390, 2 * 8_192 - 200, int(rng.integers(0, 20_000)), 300]
+    rows = [(k, f"{prose(60 + k, at)} {edited if k == 4 else item} {prose(80 + k, 500)}") for k, at in enumerate(place)]
+    got = decontaminate.leaks(spark.createDataFrame(rows, "doc_id long, text string"),
+                              spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert {(r["id"], r["lcs"] == 1.0) for r in got} == {(k, k != 4) for k in range(5)}
+    assert all(place[r["id"]] - 100 <= r["start_word"] <= place[r["id"]] for r in got)    # a stretch is a quarter longer than its item
+
+
 def test_lcs_length():
     rng = np.random.default_rng(0)
     for _ in range(200):
