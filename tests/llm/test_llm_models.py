@@ -105,6 +105,19 @@ def test_decontamination_of_long_items_in_long_texts(spark):
     assert all(place[r["id"]] - 100 <= r["start_word"] <= place[r["id"]] for r in got)    # a stretch is a quarter longer than its item
 
 
+@pytest.mark.parametrize("low,high", [(8, 14), (15, 59), (3, 59)])
+def test_decontamination_of_question_lists(spark, low, high):
+    cut = [(r["item_id"], decontaminate.words(r["text"])) for r in table(spark, SF, "benchmark").orderBy("item_id").collect()]
+    items = [(i, " ".join(w[:low + k % (high - low + 1)])) for k, (i, w) in enumerate(cut)]
+    lists = [(k, "\n".join(t for _, t in items[k:k + 20])) for k in range(0, len(items), 20)]
+    one = [(1_000 + k, f"{prose(k, 37 + k % 90)} {t} {prose(k + 999, 50)}") for k, (_, t) in enumerate(items)]
+    df, bench = spark.createDataFrame(lists + one, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = {(k // 20 * 20, i) for k, (i, _) in enumerate(items)} | {(1_000 + k, i) for k, (i, _) in enumerate(items)}
+    for s in (decontaminate.Settings(), decontaminate.Settings(rank=20)):
+        got = {(r["id"], r["item"]) for r in decontaminate.leaks(df, bench, settings=s).collect()}
+        assert want <= got and got == _leaks_by_force(lists + one, items, s)
+
+
 def test_lcs_length():
     rng = np.random.default_rng(0)
     for _ in range(200):
