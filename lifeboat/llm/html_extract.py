@@ -8,14 +8,15 @@ lacks, is a slot and its text is content. What a page's own markup says stays
 out in any case: menus, headers, footers, sidebars, notices, adverts, forms,
 scripts, styles and reader comments.
 
-An ``article`` or ``main`` element is a slot by declaration: where a page has one,
-its text is the content, whether or not other pages of the host repeat it.
+An ``article`` or ``main`` element is a slot by declaration, as long as few pages
+vote: with ``firm_pages`` votes a block of constant nodes is template inside it too
+(a constant word in a line that varies is not), and where the slots outside the declared articles hold more text than those inside
+(a teaser), all slots of the page are its content.
 
-Each page is parsed and aligned once. The pass leaves the page's text and, for
-text outside declared articles, the reference node of each part; those are counted by
-(host, node), combined map-side, so a host with a third of all pages is a few
-hundred rows, and only pages with such parts are looked at again. The
-reference of a host is its first page.
+Each page is parsed and aligned once. The pass leaves the reference node of each
+part of the page's text; those are counted by (host, node), combined map-side,
+so a host with a third of all pages is a few hundred rows. A second pass takes
+out what is template. The reference of a host is its first page.
 
 Defined results: null html gives an empty text; a null or odd URL belongs to
 the host ''; a host with fewer than ``least_pages`` pages has no template;
@@ -282,9 +283,9 @@ def joined(parts: list[list[str]]) -> str:
 
 
 def read_page(page: str, ref: tuple[Node, dict[int, int], list[str]] | None) -> tuple[str, list | None, list[int], list[int]]:
-    """Text, its parts as (block, reference node, text) where a template may take some out, nodes met, nodes met with equal text.
+    """Text, all parts of the page as (block, reference node, text, in a declared article) if there is a reference, nodes met, nodes met with equal text.
 
-    A page whose text is all the same as the reference's has no vote: a copy says nothing about the template.
+    Blank nodes have no vote, as they part words. A page whose text is all the same as the reference's has no vote: a copy says nothing about the template.
     """
     tree = parse(page)
     pairs = align(tree, ref[0]) if ref else {}
@@ -294,7 +295,7 @@ def read_page(page: str, ref: tuple[Node, dict[int, int], list[str]] | None) ->
     met, same, varies = [], [], False
     for n in _flat(tree):
         r = pairs.get(id(n)) if n.tag == "#" else None
-        if r is not None:
+        if r is not None and not (n.text.isspace() and r.text.isspace()):
             equal = n.text == r.text or _own_text(n) == _own_text(r)
             varies = varies or not equal
             met.append(ref[1][id(r)])
@@ -303,11 +304,29 @@ def read_page(page: str, ref: tuple[Node, dict[int, int], list[str]] | None) ->
     if ref is None or not varies:
         met, same = [], []
     parts = None
-    if ref and not declared:
-        parts = [(i, ref[1].get(id(pairs.get(id(n))), -1), " " if n.tag == "br" else n.text) for i, b in enumerate(found) for n in b]
+    if ref:
+        inside = {id(n) for top in declared for n in _flat(top)}
+        node = lambda n: -1 if n.text.isspace() else ref[1].get(id(pairs.get(id(n))), -1)
+        parts = [(i, node(n), " " if n.tag == "br" else n.text, id(n) in inside) for i, b in enumerate(blocks([tree])) for n in b]
     return text, parts, met, same
 
 
+def slots(parts: list[dict], constant: frozenset[int], firm: frozenset[int], voted: bool) -> str:
+    """The text of the parts that are no template: outside declared articles ``constant`` nodes, inside blocks of ``firm`` nodes only."""
+    inner = {p["block"] for p in parts if p["inside"]}
+    kept = {p["block"] for p in parts if p["inside"] and p["node"] not in firm and not p["text"].isspace()}
+    lines: dict[int, list[str]] = {}
+    for p in parts:
+        if p["block"] in kept if p["inside"] else p["node"] not in constant:
+            lines.setdefault(p["block"], []).append(p["text"])
+    if not inner:
+        return joined(list(lines.values()))
+    declared = joined([x for i, x in lines.items() if i in inner])
+    if voted and len(joined([x for i, x in lines.items() if i not in inner])) > len(declared):
+        return joined(list(lines.values()))
+    return declared
+
+
 def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
 
@@ -331,7 +350,7 @@ class _References:
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-            least_pages: int = 3, constant_share: float = 0.8) -> DataFrame:
+            least_pages: int = 3, constant_share: float = 0.8, firm_pages: int = 10) -> DataFrame:
     """id, url, text, n_chars of every page."""
     kind = pages.schema[id_col].dataType.simpleString()
     base = pages.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"),
@@ -346,8 +365,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         for b in batches:
             got = [read_page(page, known.get(host, ref)) for host, page, ref in zip(*(b.column(i).to_pylist() for i in (2, 3, 4)), strict=True)]
             text, parts, met, same = zip(*got, strict=True) if got else ((), (), (), ())
-            part = pa.struct([("block", pa.int32()), ("node", pa.int32()), ("text", pa.string())])
-            parts = [None if p is None else [{"block": i, "node": n, "text": t} for i, n, t in p] for p in parts]
+            part = pa.struct([("block", pa.int32()), ("node", pa.int32()), ("text", pa.string()), ("inside", pa.bool_())])
+            text = ["" if p is not None else t for p, t in zip(parts, text, strict=True)]      # the parts have it
+            parts = [None if p is None else [{"block": i, "node": n, "text": t, "inside": x} for i, n, t, x in p] for p in parts]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), b.column(2), pa.array(text, pa.string()), pa.array(parts, pa.list_(part)),
                  pa.array(met, pa.list_(pa.int32())), pa.array(same, pa.list_(pa.int32()))],
@@ -355,18 +375,23 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     read = stage(map_columns(base.join(refs, F.col("host") == F.col("ref_host"), "left"),
                              [F.col(c) for c in ("id", "url", "host", "html", "ref")],
-                             f"id {kind}, url string, host string, text string, parts array<struct<block: int, node: int, text: string>>,"
+                             f"id {kind}, url string, host string, text string, parts array<struct<block: int, node: int, text: string, inside: boolean>>,"
                              " met array<int>, same array<int>", run), "aligned")
     votes = (read.select("host", F.explode("met").alias("node"), F.lit(0).alias("same"))
              .unionByName(read.select("host", F.explode("same").alias("node"), F.lit(1).alias("same"))))
     template = (votes.groupBy("host", "node").agg(F.sum("same").alias("same"), F.sum(1 - F.col("same")).alias("n"))
-                .filter((F.col("n") >= least_pages) & (F.col("same") >= constant_share * F.col("n")))
-                .groupBy("host").agg(F.collect_set("node").alias("constant")))
+                .withColumn("fixed", (F.col("n") >= least_pages) & (F.col("same") >= constant_share * F.col("n")))
+                .groupBy("host").agg(F.collect_set(F.when(F.col("fixed"), F.col("node"))).alias("constant"),
+                                     F.collect_set(F.when(F.col("fixed") & (F.col("n") >= firm_pages), F.col("node"))).alias("firm"),
+                                     (F.max("n") >= firm_pages).alias("voted")))
     declared = read.filter("parts IS NULL").select("id", "url", "text")
-    open_ = read.filter("parts IS NOT NULL").join(stage(template, "templates"), "host", "left")
-    left = F.filter("parts", lambda p: ~F.coalesce(F.array_contains("constant", p["node"]), F.lit(False)))
-    block = F.array_distinct(F.transform("left", lambda p: p["block"]))
-    lines = F.transform(block, lambda b: F.trim(F.regexp_replace(F.array_join(F.transform(
-        F.filter("left", lambda p: p["block"] == b), lambda p: p["text"]), ""), r"(?U)\s+", " ")))
-    rest = open_.withColumn("left", left).select("id", "url", F.array_join(F.filter(lines, lambda x: x != ""), "\n").alias("text"))
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            text = [slots(p, frozenset(c or ()), frozenset(f or ()), bool(v))
+                    for p, c, f, v in zip(*(b.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string())], ["id", "url", "text"])
+
+    rest = map_columns(read.filter("parts IS NOT NULL").join(stage(template, "templates"), "host", "left"),
+                       [F.col(c) for c in ("id", "url", "parts", "constant", "firm", "voted")], f"id {kind}, url string, text string", settle)
     return declared.unionByName(rest).withColumn("n_chars", F.length("text").cast("long"))

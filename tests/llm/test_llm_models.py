@@ -164,6 +164,16 @@ def test_html_templates(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+def test_html_templates_inside_articles(spark):
+    page = lambda i: f"<body><article><div>Read our <b>daily</b> letter</div><p>body {i} of <i>page</i> <b>{i * 7}</b></p></article><p>Imprint</p>"
+    teaser = lambda i: f"<body><article><p>teaser {i}</p></article><div><p>the long story {prose(i, 30)}</p></div><p>Imprint</p>"
+    made = [(k * 100 + i, f"http://h{k}.org/{i}", make(i)) for k, make, n in ((0, page, 14), (1, page, 5), (2, teaser, 14)) for i in range(n)]
+    got = {r["id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(made, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"body {i} of page {i * 7}" for i in range(14))
+    assert all(got[100 + i] == f"Read our daily letter\nbody {i} of page {i * 7}" for i in range(5))    # few votes: as declared
+    assert all(got[200 + i] == f"teaser {i}\nthe long story {prose(i, 30)}" for i in range(14))
+
+
 def test_pipeline(spark):
     docs = table(spark, SMALL, "documents")
     left, counts = docs, [docs.count()]
