@@ -1,4 +1,4 @@
-"""The queries of the ten operators, and their DuckDB SQL where SQL can state them."""
+"""The queries of the operators, and their DuckDB SQL where SQL can state them."""
 
 from __future__ import annotations
 
@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lifeboat.llm import chat, decontaminate, exact_dedup, html_extract, packing, secret_scan, simhash, substring_dedup, token_count, toxicity
+from lifeboat.llm import byte_bpe, chat, decontaminate, exact_dedup, html_extract, packing, secret_scan, simhash, substring_dedup, token_count, toxicity
 from lifeboat.llm.common import table
 
 QUERIES: dict = {}
 TOKENIZER = "byte_bpe_50k.json"
+RANKS = "byte_bpe_50k.tiktoken"
 
 
 def query(name: str, sql: str | None = None):
@@ -137,3 +138,12 @@ FROM d JOIN g USING (text)
 def op10_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = exact_dedup.exact_dedup(table(spark, sf, "documents"))
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query("op13_byte_bpe")
+def op13_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    ranks, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
+    coded = byte_bpe.decode(byte_bpe.encode(table(spark, sf, "documents"), ranks, pattern), ranks, pattern)
+    return coded.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                        F.sha2("bytes", 256).alias("decoded_sha256"))
