@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lifeboat.llm import byte_bpe, chat, decontaminate, exact_dedup, html_extract, packing, secret_scan, simhash, substring_dedup, token_count, toxicity
+from lifeboat.llm import byte_bpe, centroid_cluster, chat, decontaminate, exact_dedup, html_extract, packing, secret_scan, simhash, substring_dedup, token_count, toxicity
 from lifeboat.llm.common import table
 
 QUERIES: dict = {}
@@ -147,3 +149,36 @@ def op13_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return coded.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                         F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+def _cluster_sql(s: centroid_cluster.Settings) -> str:
+    distance = "CAST(list_sum(list_transform(list_zip(k.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT)"
+    assign = lambda n: f"""
+a{n} AS (SELECT r, arg_min(c, (d, c)) AS c, min(d) AS d FROM (SELECT k.r, c.c, {distance} AS d FROM k, c{n} c) GROUP BY r)"""
+    update = lambda n: f"""
+m{n} AS (SELECT a.c, i, sum(k.v[i]) AS s, count(*) AS n FROM k JOIN a{n} a USING (r), unnest(range(1, {s.dimensions + 1})) AS u(i) GROUP BY a.c, i),
+c{n + 1} AS (SELECT c.c, coalesce(m.v, c.v) AS v FROM c{n} c LEFT JOIN
+             (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v FROM m{n} GROUP BY c) m ON m.c = c.c)"""
+    steps = ",".join(assign(n) + "," + update(n) for n in range(s.rounds)) + "," + assign(s.rounds)
+    return f"""
+WITH k AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor({s.scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+           FROM embeddings WHERE len(embedding) = {s.dimensions} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {s.dimensions}),
+c0 AS (SELECT row_number() OVER (ORDER BY sha256('{s.seed}:' || vec_id) NULLS LAST, vec_id NULLS LAST, v) - 1 AS c, v FROM k QUALIFY c < {s.clusters}),{steps},
+f AS (SELECT c, CAST(sum(d) AS BIGINT) AS cluster_inertia FROM a{s.rounds} GROUP BY c)
+SELECT vec_id, CAST(a.c AS INT) AS cluster, a.d AS distance, cluster_inertia, (SELECT CAST(sum(d) AS BIGINT) FROM a{s.rounds}) AS inertia,
+       sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM k JOIN a{s.rounds} a USING (r) JOIN f ON f.c = a.c JOIN c{s.rounds} c ON c.c = a.c
+"""
+
+
+CLUSTERS = centroid_cluster.Settings()
+
+
+@query("op11_centroid_cluster", _cluster_sql(CLUSTERS))
+def op11_centroid_cluster(spark: SparkSession, sf: str) -> DataFrame:
+    rows, clusters, _ = centroid_cluster.cluster(table(spark, sf, "embeddings"), CLUSTERS)
+    total = sum(c["inertia"] for c in clusters)
+    digest = [(c["cluster"], c["inertia"], total, hashlib.sha256(",".join(map(str, c["centroid"])).encode()).hexdigest()) for c in clusters]
+    each = spark.createDataFrame(digest, "cluster int, cluster_inertia long, inertia long, centroid_sha256 string")
+    # One row per cluster, at most CLUSTERS.clusters.
+    return rows.join(F.broadcast(each), "cluster").select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
