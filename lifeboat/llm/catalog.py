@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lifeboat.llm import byte_bpe, centroid_cluster, chat, decontaminate, exact_dedup, html_extract, packing, secret_scan, simhash, substring_dedup, token_count, toxicity
+from lifeboat.llm import byte_bpe, centroid_cluster, chat, decontaminate, divergence, exact_dedup, html_extract, packing, secret_scan, simhash, substring_dedup, token_count, toxicity
 from lifeboat.llm.common import table
 
 QUERIES: dict = {}
@@ -142,6 +142,36 @@ def op10_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
+def _divergence_sql(s: divergence.Settings) -> str:
+    share = lambda n, total: f"1 + (CAST({s.unit} AS HUGEINT) * ({n} + {s.smooth})) // ({total} + {s.smooth} * v)"
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+w AS (SELECT r, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+                                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= {s.least_docs}),
+l AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY lang),
+n AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT lang, source, coalesce(total, 0) AS total FROM (SELECT DISTINCT lang, source FROM d)
+      LEFT JOIN (SELECT lang, source, sum(n) AS total FROM n GROUP BY lang, source) USING (lang, source)),
+f AS (SELECT g.lang, g.source, k.term, coalesce(n.n, 0) AS n, CAST({share("coalesce(n.n, 0)", "g.total")} AS BIGINT) AS p,
+             CAST({share("k.lang_n", "l.lang_total")} AS BIGINT) AS q
+      FROM g JOIN l ON l.lang = g.lang JOIN kept k ON k.lang = g.lang LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = k.term),
+pairs AS (SELECT a.lang, a.source, b.source AS item, CAST(coalesce((SELECT sum(abs(x.p - y.p)) FROM f x JOIN f y ON x.lang = y.lang AND x.term = y.term
+                 WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS BIGINT) AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source),
+terms AS (SELECT lang, source, term AS item, p - q AS value FROM f WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INT) AS rank FROM pairs
+UNION ALL
+SELECT lang, source, 'term' AS part, item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INT) AS rank
+FROM terms QUALIFY rank <= {s.top}
+"""
+
+
+@query("op12_source_divergence", _divergence_sql(divergence.Settings()))
+def op12_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.audit(table(spark, sf, "documents"))
+
+
 @query("op13_byte_bpe")
 def op13_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
