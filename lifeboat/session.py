@@ -54,9 +54,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"{_CHECKPOINT_KEY} must name a folder that the driver and all executors share")
-        root = tempfile.mkdtemp(prefix="lifeboat-ckpt-")
-        spark.conf.set(_CHECKPOINT_KEY, root)
-        spark.sparkContext.setCheckpointDir(root)
+        # The context remembers the folder that it makes in this one.
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lifeboat-ckpt-"))
+        root = spark.sparkContext.getCheckpointDir()
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
