@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lifeboat.llm import byte_bpe, centroid_cluster, chat, decontaminate, divergence, exact_dedup, html_extract, packing, secret_scan, simhash, substring_dedup, token_count, toxicity
-from lifeboat.llm.common import table
+from lifeboat.llm.common import file_row, table
 
 QUERIES: dict = {}
 TOKENIZER = "byte_bpe_50k.json"
@@ -57,7 +57,8 @@ def op3_token_count(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op4_simhash")
 def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
-    found = simhash.near_duplicates(table(spark, sf, "documents"))
+    docs = table(spark, sf, "documents")
+    found = simhash.near_duplicates(docs, row=file_row(docs))
     return found.select(F.col("id").alias("doc_id"), simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
@@ -78,7 +79,8 @@ def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op7_substring_dedup")
 def op7_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    found = substring_dedup.remove_repeats(table(spark, sf, "documents"))
+    docs = table(spark, sf, "documents")
+    found = substring_dedup.remove_repeats(docs, row=file_row(docs))
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
@@ -138,7 +140,8 @@ SELECT doc_id, keep_id, group_size,
 FROM d JOIN g USING (text)
 """)
 def op10_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    found = exact_dedup.exact_dedup(table(spark, sf, "documents"))
+    docs = table(spark, sf, "documents")
+    found = exact_dedup.exact_dedup(docs, row=file_row(docs))
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 

@@ -1,7 +1,8 @@
 """Exact deduplication by content-defined chunk recipes (DataFrame functions only).
 
-A text is cut into chunks at places its own content decides: the first line
-end after 1,024 characters, at the latest after 8,192. Every chunk gets a verified
+A text is cut into chunks at places its own content decides: the first line or
+sentence end after 1,024 characters, or else the first white space after 7,168; a text without any
+of them is cut every 8,192. Every chunk gets a verified
 identifier, a text becomes the ordered list of its chunks' identifiers, and two
 texts are equal exactly when the lists are. Only those short lists are grouped
 and joined; text crosses the network once, as distinct chunks, to verify the
@@ -19,10 +20,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lifeboat.llm.common import free_name, stage, text_or_empty
+from lifeboat.llm.common import free_name, numbered, stage, text_or_empty
 
-# Chunk rule: a line end ends a chunk once it has 1,024 characters; 8,192 at most.
-CHUNK_PATTERN = r"(?s).{1023,8191}?\n|.{1,8192}"
+# Chunk rule: a line or sentence end ends a chunk once it has 1,024 characters, white space once it has 7,168; 8,192 at most.
+CHUNK_PATTERN = r"(?s).{1022,7166}?(?:\n|[.!?]\s)|.{7167,8191}?\s|.{1,8192}"
 
 
 def chunk_array(text: Column) -> Column:
@@ -35,15 +36,14 @@ def _chunk_hash(chunk: Column) -> Column:
 
 
 def recipes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-            chunk_hash: Callable[[Column], Column] = _chunk_hash) -> DataFrame:
+            chunk_hash: Callable[[Column], Column] = _chunk_hash, row: Column | None = None) -> DataFrame:
     """(row_id, id, recipe, text_sha256), staged: the identifier list of every row.
 
     A chunk's identifier is its hash and, where different chunks share a hash,
     its place among them; the distinct chunks are compared byte by byte to find
     those. ``chunk_hash`` can be replaced (tests use a weak one).
     """
-    base = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).alias("id"),
-                       text_or_empty(text_col).alias("text"))
+    base = numbered(docs, row, "row_id", [F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")])
     slim = stage(base.select("row_id", "id",
                              F.transform(chunk_array(F.col("text")), chunk_hash).alias("hashes"),
                              F.sha2("text", 256).alias("text_sha256")), "recipes")
@@ -63,22 +63,30 @@ def recipes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
 
 
 def exact_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-                chunk_hash: Callable[[Column], Column] = _chunk_hash) -> DataFrame:
+                chunk_hash: Callable[[Column], Column] = _chunk_hash, row: Column | None = None) -> DataFrame:
     """One row per input row: row_id, id, keep_id, group_size, kept, text_sha256.
 
-    ``keep_id`` is the largest id among the rows of equal text. Groups are
-    counted with map-side partial aggregation; the join back meets a hot
-    group as many slim left rows and one right row, which AQE splits.
+    ``keep_id`` is the largest id among the rows of equal text. Groups are counted with map-side partial
+    aggregation, and those of more than one row are staged. The join back then has a plain shuffle on either side:
+    a group with very many rows is many slim rows against one, which AQE splits.
+    ``row``: see ``common.numbered``.
     """
-    slim = recipes(docs, text_col, id_col, chunk_hash)
-    groups = slim.groupBy("recipe").agg(F.max(F.struct("id", "row_id")).alias("top"), F.count("*").alias("group_size"))
-    return slim.join(groups, "recipe").select(
-        "row_id", "id", F.col("top.id").alias("keep_id"), "group_size",
-        (F.col("top.row_id") == F.col("row_id")).alias("kept"), "text_sha256")
-
-
-def drop_copies(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    slim = recipes(docs, text_col, id_col, chunk_hash, row)
+    groups = stage(slim.groupBy("recipe").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size")).filter("group_size > 1"), "groups")
+    # Of equal largest ids (null where there is no other) the largest row number stays: few rows, or all of a group of repeated ids, summed in the task first.
+    first = (slim.join(groups, "recipe").filter("id <=> keep_id").groupBy("recipe").agg(F.max("row_id").alias("keep_row"))
+             .withColumnRenamed("recipe", "of"))
+    copied = stage(groups.join(first, F.col("recipe") == F.col("of")).drop("of"), "copied")
+    alone = F.col("group_size").isNull()
+    return slim.join(copied, "recipe", "left").select(
+        "row_id", "id", F.when(alone, F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+        (alone | (F.col("keep_row") == F.col("row_id"))).alias("kept"), "text_sha256")
+
+
+def drop_copies(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", row: Column | None = None) -> DataFrame:
     """``docs`` without the rows that ``exact_dedup`` does not keep; same columns."""
-    row = free_name(docs, "row_id")
-    gone = stage(exact_dedup(docs, text_col, id_col).filter("NOT kept").select(F.col("row_id").alias(row)), "copies")
-    return docs.withColumn(row, F.monotonically_increasing_id()).join(gone, row, "left_anti").drop(row)
+    name = free_name(docs, "row_id")
+    own = numbered(docs, row, name)
+    gone = stage(exact_dedup(own, text_col, id_col, row=F.col(name)).filter("NOT kept").select(F.col("row_id").alias(name)), "copies")
+    return own.join(gone, name, "left_anti").drop(name)

@@ -103,7 +103,9 @@ def secret_scan(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     """
     rows, spans = candidates(docs, kinds, text_col, id_col, repository, owner)
     spans = stage(spans, "spans")
-    told = (spans.withColumn("value_hash", F.sha2("value", 256)).join(ownership(spans), "value_hash")
+    # Staged before it is joined, so the spans of a value that is copied all over can be split over tasks.
+    owned = stage(ownership(spans), "ownership")
+    told = (spans.withColumn("value_hash", F.sha2("value", 256)).join(owned, "value_hash")
             .select("row_id", F.struct("start", "kind_no", "end", "kind", "value_hash", "n_repositories", "n_owners",
                                        (F.col("n_owners") >= copied_owners).alias("copied")).alias("s")))
     per_row = told.groupBy("row_id").agg(F.array_sort(F.collect_list("s")).alias("found"))

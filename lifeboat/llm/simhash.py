@@ -29,10 +29,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lifeboat.llm.common import free_name, map_columns, stage, text_or_empty
+from lifeboat.llm.common import free_name, map_columns, numbered, stage, text_or_empty
 from lifeboat.llm.components import connected_components
 
 BLOCK_BITS = (11, 11, 11, 11, 10, 10)
@@ -60,8 +60,8 @@ def fingerprint(text: str, shingle: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 3) -> DataFrame:
-    """(row_id, id, fp) of every row; fp is the fingerprint's bits as a signed long."""
+def fingerprints(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 3, row: Column | None = None) -> DataFrame:
+    """(row_id, id, fp) of every row; fp is the fingerprint's bits as a signed long. ``row``: the row's number, if it has one."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,7 +69,8 @@ def fingerprints(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
             fp = np.array([fingerprint(t.as_py(), shingle) for t in b.column(2)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp)], ["row_id", "id", "fp"])
 
-    return map_columns(docs, [F.monotonically_increasing_id().alias("row_id"), F.col(id_col).alias("id"),
+    number = F.monotonically_increasing_id() if row is None else row    # callers stage the result, so it is numbered once
+    return map_columns(docs, [number.alias("row_id"), F.col(id_col).alias("id"),
                               text_or_empty(text_col).alias("text")], f"row_id long, id {kind}, fp long", run)
 
 
@@ -138,45 +139,55 @@ def links(fps: DataFrame, most: int = 3, bits: tuple[int, ...] = BLOCK_BITS) ->
             pairs = np.unique(np.stack([np.minimum(f[i], f[j]), np.maximum(f[i], f[j])], 1), axis=0)
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
-        held = [np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)]
+        held: list[list[np.ndarray]] = []       # a file that goes on over batches is put together once
         for b in batches:
-            now = [np.concatenate([h, b.column(i).to_numpy(zero_copy_only=False)]) for i, h in enumerate(held)]
+            now = [b.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
+            if not len(now[0]):
+                continue
+            if held and (held[-1][0][-1] != now[0][0] or held[-1][1][-1] != now[1][0]):
+                yield out(*map(np.concatenate, zip(*held, strict=True)))
+                held = []
             last = np.flatnonzero((now[0] != now[0][-1]) | (now[1] != now[1][-1]))
             cut = int(last[-1]) + 1 if len(last) else 0
             if cut:
-                yield out(*(x[:cut] for x in now))
-            held = [x[cut:] for x in now]       # the last file may go on in the next batch
-        if len(held[0]):
-            yield out(*held)
+                yield out(*map(np.concatenate, zip(*held, [x[:cut] for x in now], strict=True)))
+                held = []
+            held.append([x[cut:] for x in now])
+        if held:
+            yield out(*map(np.concatenate, zip(*held, strict=True)))
 
     return (filed.repartition("no", "bits").sortWithinPartitions("no", "bits", "fp")
             .mapInArrow(run, "a long, b long").distinct())
 
 
 def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 3,
-                    most: int = 3) -> DataFrame:
+                    most: int = 3, row: Column | None = None) -> DataFrame:
     """One row per input row: row_id, id, fp, component_id (smallest id reachable), component (smallest fingerprint reachable).
 
     ``component`` names the component; ``component_id`` may be null or shared, as ids may be null or repeated.
     """
-    own = stage(fingerprints(docs, text_col, id_col, shingle), "fingerprints")
+    own = stage(fingerprints(docs, text_col, id_col, shingle, row), "fingerprints")
     parts = connected_components(links(own.select("fp").distinct(), most))
-    fps = (own.groupBy("fp").agg(F.min("id").alias("least"))
-           .join(parts.withColumnRenamed("node", "fp"), "fp", "left")
-           .withColumn("component", F.coalesce("component", "fp")))
-    named = fps.select("fp", "component", F.min("least").over(Window.partitionBy("component")).alias("component_id"))
+    fps = stage(own.groupBy("fp").agg(F.min("id").alias("least"))
+                .join(parts.withColumnRenamed("node", "fp"), "fp", "left")
+                .select("fp", "least", F.coalesce("component", "fp").alias("component")), "named")
+    # Staged before it is joined back, so a component or fingerprint with very many rows meets one row in as many tasks as it takes.
+    least = stage(fps.groupBy("component").agg(F.min("least").alias("component_id")), "component-ids")
+    named = stage(fps.select("fp", "component").join(least, "component"), "named")
     return own.join(named, "fp").select("row_id", "id", "fp", "component_id", "component")
 
 
-def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 3, most: int = 3) -> DataFrame:
+def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 3, most: int = 3,
+             row: Column | None = None) -> DataFrame:
     """``docs`` with one row of each component, that of the smallest id (of equal ids the first row)."""
-    row = free_name(docs, "row_id")
-    found = stage(near_duplicates(docs, text_col, id_col, shingle, most), "components")
+    name = free_name(docs, "row_id")
+    own = numbered(docs, row, name)
+    found = stage(near_duplicates(own, text_col, id_col, shingle, most, F.col(name)), "components")
     # Rows with the smallest id are few per component (one, but for repeated ids), so this groups little.
     first = found.filter("id <=> component_id").groupBy("component", "fp").agg(F.min("row_id").alias("r"))
-    keep = first.groupBy("component").agg(F.min("r").alias("r")).select(F.col("r").alias(row))
-    gone = stage(found.select(F.col("row_id").alias(row)).join(keep, row, "left_anti"), "near-copies")
-    return docs.withColumn(row, F.monotonically_increasing_id()).join(gone, row, "left_anti").drop(row)
+    keep = first.groupBy("component").agg(F.min("r").alias("r")).select(F.col("r").alias(name))
+    gone = stage(found.select(F.col("row_id").alias(name)).join(keep, name, "left_anti"), "near-copies")
+    return own.join(gone, name, "left_anti").drop(name)
 
 
 def hex_digits(fp: Column) -> Column:

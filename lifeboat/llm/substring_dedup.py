@@ -35,10 +35,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lifeboat.llm.common import map_columns, text_or_empty
+from lifeboat.llm.common import map_columns, numbered, stage, text_or_empty
 
 GRAM = 4
 RUN = 64                        # windows of a segment, at most
@@ -345,9 +345,9 @@ def _hot_anchors(rows: DataFrame, window: int) -> tuple[int, np.ndarray]:
     return total.get(-1, 0), np.sort(np.array([r["gram"] for r in hot], np.uint64))
 
 
-def repeated_ranges(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", window: int = 20) -> DataFrame:
-    """(row_id, start, end): ranges of words covered by windows that also start earlier."""
-    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
+def repeated_ranges(rows: DataFrame, window: int = 20) -> DataFrame:
+    """(row_id, start, end): ranges of words covered by windows that also start earlier; ``rows`` has (row_id, id, text), row_id fixed."""
+    rows = rows.select("row_id", F.col("id").cast("long").alias("id"), "text")
     n_words, hot = _hot_anchors(rows, window)
     shards = max(1, -(-n_words // SHARD_WORDS))
     none_id = -(1 << 63)
@@ -420,12 +420,13 @@ def repeated_ranges(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     return sent.repartition(F.col("shard")).sortWithinPartitions("shard").mapInArrow(search, "row_id long, start long, end long")
 
 
-def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", window: int = 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", window: int = 20, row: Column | None = None) -> DataFrame:
     """One row per document: row_id, id, n_words, n_removed, kept (the words left, joined by one space), kept_sha256."""
     kind = docs.schema[id_col].dataType.simpleString()
-    per_row = repeated_ranges(docs, text_col, id_col, window).groupBy("row_id").agg(
+    rows = numbered(docs, row, "row_id", [F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")])
+    per_row = repeated_ranges(rows, window).groupBy("row_id").agg(
         F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    rows = rows.withColumnRenamed("row_id", "row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
