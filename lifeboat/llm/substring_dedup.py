@@ -337,11 +337,10 @@ def _hot_anchors(rows: DataFrame, window: int) -> tuple[int, np.ndarray]:
         often = n > 2
         return pa.RecordBatch.from_arrays([pa.array(gram[often].view(np.int64)), pa.array(n[often])], ["gram", "n"])
 
-    counts = rows.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).persist()
+    counts = stage(rows.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
     total = {r["gram"]: r["n"] for r in counts.filter("gram < 0").collect()}
     least = max(HOT_LEAST, total.get(-2, 0) // HOT_SHARE)
     hot = counts.filter(F.col("gram") >= 0).filter(F.col("n") > least).select("gram").collect()
-    counts.unpersist()
     return total.get(-1, 0), np.sort(np.array([r["gram"] for r in hot], np.uint64))
 
 
@@ -417,7 +416,8 @@ def repeated_ranges(rows: DataFrame, window: int = 20) -> DataFrame:
             yield shard_ranges(held, window)
 
     sent = rows.mapInArrow(send, "shard long, blob binary")
-    return sent.repartition(F.col("shard")).sortWithinPartitions("shard").mapInArrow(search, "row_id long, start long, end long")
+    # As many tasks as shards, so a task's share does not grow with the corpus.
+    return sent.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(search, "row_id long, start long, end long")
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", window: int = 20, row: Column | None = None) -> DataFrame:
