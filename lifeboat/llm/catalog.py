@@ -64,7 +64,8 @@ def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op5_decontaminate")
 def op5_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
-    found = decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    docs = table(spark, sf, "documents")
+    found = decontaminate.leaks(docs, table(spark, sf, "benchmark"), row=file_row(docs))
     return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), F.round("cosine", 4).alias("cosine"),
                         F.round("lcs", 6).alias("lcs"), F.round("answer", 6).alias("answer"), "start_word", "end_word")
 
