@@ -87,7 +87,8 @@ def op7_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op8_html_extract")
 def op8_html_extract(spark: SparkSession, sf: str) -> DataFrame:
-    return html_extract.extract(table(spark, sf, "pages")).withColumnRenamed("id", "page_id")
+    pages = table(spark, sf, "pages")
+    return html_extract.extract(pages, row=file_row(pages)).withColumnRenamed("id", "page_id")
 
 
 def _secret_sql() -> str:

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,9 +47,12 @@ def file_row(df: DataFrame) -> Column | None:
     apart, on other numbers of executors, number a row alike. The upper half is a hash of
     the file's path; the paths (the driver lists them to read the table) are checked
     for clashes, and another salt is taken until there are none. None if 100 salts
-    clash (over some 100,000 files): ``numbered`` then stages the rows with their numbers.
+    clash (over some 100,000 files) or ``df`` is no such table: ``numbered`` then stages the rows with their numbers.
     """
-    paths = [r[0] for r in df.select("_metadata.file_path").distinct().collect()]
+    try:
+        paths = [r[0] for r in df.select("_metadata.file_path").distinct().collect()]
+    except AnalysisException:
+        return None
     for salt in map(str, range(100)):
         if len({xxhash.xxh64_intdigest((salt + p).encode(), 42) >> 33 for p in paths}) == len(paths):
             # Spark's xxhash64 is XXH64 with seed 42; 31 bits of it, then 32 bits of the place (a file has fewer rows).
