@@ -101,6 +101,7 @@ GB_GRID = {
     "maxIter": (300, 500, 800),
     "stepSize": (0.01, 0.02, 0.05),
     "maxDepth": (3, 4, 5),
+    "minSamplesSplit": (2, 4),
     "minInstancesPerNode": (1, 2),
     "subsamplingRate": (0.85, 0.9, 1.0),
 }
@@ -129,8 +130,12 @@ class TrainingConfig:
     xgb_step: float = 0.03
     xgb_depth: int = 3
     xgb_subsample: float = 0.9
-    xgb_feature_fraction: str = "0.8"
+    xgb_column_share: float = 0.8   # drawn per tree
+    xgb_lambda: float = 1.0
+    xgb_min_child: float = 1.0
+    max_bins: int = 256
     early_stopping_rounds: int = 50
+    models_in_step: int = 24    # grid combinations times folds that are boosted in the same jobs
     gb_grid: dict = field(default_factory=lambda: dict(GB_GRID))
     cv_folds: int = 3
     cv_parallelism: int = 4
@@ -143,9 +148,13 @@ class TrainingConfig:
     svm_grid: dict = field(default_factory=lambda: dict(SVM_GRID))
     # mlp
     mlp_hidden: tuple[int, ...] = (256, 128, 64)
-    mlp_chunk_iters: int = 1
-    mlp_max_chunks: int = 250
-    patience: int = 30  # chunks without improvement
+    mlp_dropout: float = 0.35
+    mlp_batch_rows: int = 128
+    mlp_batches: int = 6        # mini-batches of an epoch at most: the original has six; on large tables a batch is a share of the rows
+    mlp_epochs: int = 250
+    mlp_rate: float = 1e-3
+    mlp_decay: float = 1e-4
+    patience: int = 30  # epochs without improvement
     # knn
     knn_grid: dict = field(default_factory=lambda: dict(KNN_GRID))
 
@@ -153,7 +162,7 @@ class TrainingConfig:
 # What the registered model queries train with: the same families, rules and searches on
 # grids and tree counts that a driver run of all queries can afford (README, "Sizes").
 QUERY_CONFIG = TrainingConfig(
-    fit_partitions=4, rf_trees=100, age_forest_trees=50, xgb_rounds=200, early_stopping_rounds=20,
-    gb_grid={"maxIter": (30,), "stepSize": (0.05, 0.1), "maxDepth": (3, 4), "minInstancesPerNode": (1,), "subsamplingRate": (1.0,)},
-    svm_grid={"C": (0.5, 2.0), "gamma": ("scale",)}, mlp_chunk_iters=10, mlp_max_chunks=10, patience=3,
+    fit_partitions=4, rf_trees=100, age_forest_trees=50,
+    gb_grid={"maxIter": (300,), "stepSize": (0.05,), "maxDepth": (3,), "minInstancesPerNode": (1, 2), "subsamplingRate": (1.0,)},
+    svm_grid={"C": (0.5, 2.0), "gamma": ("scale",)},
 )

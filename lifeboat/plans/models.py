@@ -6,36 +6,34 @@ Each trainer returns a :class:`Fitted`: the validation accuracy, a scorer
 that maps any frame with ``features`` to (id, prediction, p1), the fitted
 Spark ML model(s) for persisting, and the search / training history.
 
-Training runs on Spark ML estimators (distributed tree building, L-BFGS and
-OWL-QN over partitions). The only custom pieces are early stopping (chosen
-from per-iteration validation loss), the RBF kernel (random Fourier features
-as array expressions) and exact nearest neighbours (``operators.knn``).
+Forests and linear models are Spark ML estimators. Boosting (``operators.boosting``) and the perceptron
+(``operators.perceptron``) are chains of jobs that add up fixed-size sums over partitions; the RBF
+kernel is random Fourier features as array expressions, and neighbours are exact (``operators.knn``).
 """
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from itertools import product
 from typing import Callable
 
 import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml.classification import (
-    GBTClassifier,
     LinearSVC,
     LogisticRegression,
-    MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lifeboat import config as C
+from lifeboat.operators import boosting as BO
 from lifeboat.operators import knn as K
 from lifeboat.operators import metrics, split
+from lifeboat.operators import perceptron as NN
 from lifeboat.operators import vectors as V
 from lifeboat.operators.layout import spread, stage
 from lifeboat.session import checkpoint_root
@@ -116,25 +114,58 @@ def fit_random_forest(train: DataFrame, cfg: C.TrainingConfig, seed: int) -> tup
 
 # --- M2 gradient boosting under grid search (V2, V3) ----------------------------------
 
-def grid_maps(estimator, grid: dict) -> list:
-    b = ParamGridBuilder()
-    for name, values in grid.items():
-        b = b.addGrid(estimator.getParam(name), list(values))
-    return b.build()
+def _dimensions(rows: DataFrame) -> int:
+    return rows.select(F.size(vector_to_array("features"))).first()[0]
+
+
+def boosted_scorer(parts: dict) -> Scorer:
+    """(id, prediction int, p1) from the trees of ``operators.boosting``."""
+    model = BO.Boosted(parts["base"], parts["trees"])
+    return lambda df: BO.score(model, df.select("id", *_label_of(df), "features"))
+
+
+def _parts(model: BO.Boosted) -> dict:
+    return {"base": model.base, "trees": model.trees}
+
+
+GRID_ORDER = ("maxIter", "stepSize", "maxDepth", "minSamplesSplit", "minInstancesPerNode", "subsamplingRate")
+_GRID_DEFAULTS = {"minSamplesSplit": (2,), "minInstancesPerNode": (1,), "subsamplingRate": (1.0,)}
+
+
+def grid_combinations(grid: dict) -> list[dict]:
+    """Every combination, in the order that breaks ties: the last parameter changes fastest."""
+    values = {**_GRID_DEFAULTS, **grid}
+    return [dict(zip(GRID_ORDER, c)) for c in product(*(values[k] for k in GRID_ORDER))]
 
 
 def fit_gradient_boosting(train: DataFrame, cfg: C.TrainingConfig, seed: int):
-    folded = split.stratified_folds(train, seed=seed, folds=cfg.cv_folds).persist(StorageLevel.MEMORY_AND_DISK)
-    gbt = GBTClassifier(featuresCol="features", labelCol="label", seed=seed, lossType="logistic")
-    maps = grid_maps(gbt, cfg.gb_grid)
-    cv = CrossValidator(estimator=gbt, estimatorParamMaps=maps,
-                        evaluator=MulticlassClassificationEvaluator(metricName="accuracy"),
-                        numFolds=cfg.cv_folds, foldCol="fold", parallelism=cfg.cv_parallelism, seed=seed)
-    cvm = cv.fit(folded)
-    search = [({p.name: v for p, v in m.items()}, float(a)) for m, a in zip(maps, cvm.avgMetrics)]
-    best_params = max(enumerate(search), key=lambda t: (t[1][1], -t[0]))[1][0]
-    folded.unpersist()
-    return ml_scorer(cvm.bestModel), cvm.bestModel, best_params, search
+    """Grid search by nested prefixes: combinations that differ in the number of rounds only are one run, whose validation
+    accuracy after each of those numbers is read off; all other combinations and all folds are boosted in step, ``models_in_step`` at a time."""
+    folded = split.stratified_folds(train, seed=seed, folds=cfg.cv_folds)
+    d = _dimensions(train)
+    cuts = BO.feature_cuts(train, d, cfg.max_bins)
+    combos = grid_combinations(cfg.gb_grid)
+
+    def booster(c: dict, rounds: int, fold: int) -> BO.Booster:
+        return BO.Booster(rounds=rounds, step=c["stepSize"], depth=c["maxDepth"], subsample=c["subsamplingRate"], columns=1.0, kind="friedman",
+                          min_split=c["minSamplesSplit"], min_leaf=c["minInstancesPerNode"], prior=True, fold=fold, seed=seed)
+
+    rest = lambda c: tuple(c[k] for k in GRID_ORDER[1:])
+    longest: dict[tuple, dict] = {}
+    for c in combos:
+        if rest(c) not in longest or c["maxIter"] > longest[rest(c)]["maxIter"]:
+            longest[rest(c)] = c
+    runs = [(c, f) for c in longest.values() for f in range(cfg.cv_folds)]
+    after: dict[tuple, dict[int, float]] = {}           # (combination, fold) -> accuracy by number of rounds
+    for at in range(0, len(runs), cfg.models_in_step):
+        part = runs[at:at + cfg.models_in_step]
+        fits = BO.boost(BO.pack(folded, cuts, len(part), F.col("fold")), cuts, [booster(c, c["maxIter"], f) for c, f in part])
+        for (c, f), m in zip(part, fits, strict=True):
+            after[rest(c), f] = {r: acc for r, side, _, acc in m.history if side == "val"}
+    search = [(c, sum(after[rest(c), f].get(c["maxIter"], 0.0) for f in range(cfg.cv_folds)) / cfg.cv_folds) for c in combos]
+    best = max(enumerate(search), key=lambda t: (t[1][1], -t[0]))[1][0]
+    model = _parts(BO.boost(BO.pack(train, cuts, 1), cuts, [booster(best, best["maxIter"], -1)])[0])
+    return boosted_scorer(model), model, best, search
 
 
 # --- M3 boosting with early stopping (V5) --------------------------------------------
@@ -152,47 +183,37 @@ def early_stop_index(losses, patience: int) -> int:
 
 
 def fit_boosting_early_stop(train: DataFrame, val: DataFrame, cfg: C.TrainingConfig, seed: int):
-    """Boost up to ``xgb_rounds`` trees, read the validation log-loss of every prefix in
-    one pass (``evaluateEachIteration``, whose logistic loss is twice the log-loss), keep the best prefix under the patience rule.
-
-    Tree building is deterministic per (seed, iteration), so a shorter run is a
-    prefix of a longer one: the search boosts 2 x patience rounds, doubles only
-    while the rule has not fired, and refits the kept model with exactly the
-    best number of iterations.
-    """
-    def gbt(n):
-        return GBTClassifier(featuresCol="features", labelCol="label", maxIter=n, stepSize=cfg.xgb_step,
-                             maxDepth=cfg.xgb_depth, subsamplingRate=cfg.xgb_subsample,
-                             featureSubsetStrategy=cfg.xgb_feature_fraction, minInstancesPerNode=1,
-                             lossType="logistic", seed=seed)
-    checkpoint_root(train.sparkSession)
-    patience = cfg.early_stopping_rounds
-    rounds = min(cfg.xgb_rounds, max(2 * patience, 1))
-    while True:
-        # Boost a prefix first and grow it only while the stop rule has not fired
-        # inside it: the prefix of a longer run is the same trees.
-        full = gbt(rounds).fit(train)
-        val_loss = [v / 2 for v in full.evaluateEachIteration(val)]
-        best = early_stop_index(val_loss, patience)
-        if best + patience < rounds or rounds >= cfg.xgb_rounds:
-            break
-        rounds = min(cfg.xgb_rounds, 2 * rounds)
-    model = full if best + 1 == rounds else gbt(best + 1).fit(train)
-    history = [(i + 1, "val", float(v), None) for i, v in enumerate(val_loss)]
-    return ml_scorer(model), model, {"rounds": best + 1}, history
+    """Regularised second-order boosting, round by round on staged margins, until the validation
+    log-loss has not fallen for ``early_stopping_rounds`` rounds; the best prefix is kept. No round is fitted twice."""
+    d = _dimensions(train)
+    cuts = BO.feature_cuts(train, d, cfg.max_bins)
+    rows = train.withColumn("fold", F.lit(0)).unionByName(val.withColumn("fold", F.lit(1)))
+    spec = BO.Booster(rounds=cfg.xgb_rounds, step=cfg.xgb_step, depth=cfg.xgb_depth, subsample=cfg.xgb_subsample, columns=cfg.xgb_column_share,
+                      lam=cfg.xgb_lambda, min_child=cfg.xgb_min_child, patience=cfg.early_stopping_rounds, fold=1, seed=seed)
+    got = BO.boost(BO.pack(rows, cuts, 1, F.col("fold")), cuts, [spec])[0]
+    history = [h for h in got.history if h[1] == "val"]
+    return boosted_scorer(_parts(got)), _parts(got), {"rounds": len(got.trees), "fitted": got.fitted}, history
 
 
 # --- M5 logistic regression (V6) ---------------------------------------------------
 
 def fit_logistic(train: DataFrame, cfg: C.TrainingConfig, seed: int):
-    """L2 logistic regression with balanced class weights; C = 1 -> regParam = 1 / n."""
-    weighted = split.class_weights(train, "label", "weight")
+    """L2 logistic regression with balanced class weights; C = 1 -> regParam = 1 / n.
+
+    The intercept is the weight of a constant feature and so inside the penalty.
+    """
+    weighted = with_constant(split.class_weights(train, "label", "weight"))
     n = train.count()
-    lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight",
+    lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", fitIntercept=False,
                             regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False,
-                            maxIter=cfg.lr_max_iter, family="binomial")
+                            maxIter=cfg.lr_max_iter, tol=1e-12, family="binomial")
     model = lr.fit(weighted)
-    return ml_scorer(model), model, {"regParam": 1.0 / max(n, 1)}
+    return ml_scorer(model, with_constant), model, {"regParam": 1.0 / max(n, 1)}
+
+
+def with_constant(df: DataFrame) -> DataFrame:
+    """``features`` with a constant 1 at the end."""
+    return df.withColumn("features", array_to_vector(F.concat(vector_to_array("features"), F.array(F.lit(1.0)))))
 
 
 # --- M6 RBF SVM by random Fourier features --------------------------------------------
@@ -331,53 +352,27 @@ def knn_scorer(parts: dict) -> Scorer:
     return score
 
 
-# --- M8 multilayer perceptron with chunked early stopping -------------------------------
+# --- M8 multilayer perceptron ------------------------------------------------------------
 
 def fit_mlp(train: DataFrame, val: DataFrame, cfg: C.TrainingConfig, seed: int):
-    """L-BFGS MLP trained in chunks of ``mlp_chunk_iters`` iterations, each chunk
-    warm-started from the previous weights; after every chunk the validation
-    accuracy is measured, the best weights are kept (strict improvement) and
-    training stops after ``patience`` chunks without one."""
+    """Synchronous mini-batch perceptron (``operators.perceptron``) on features scaled by the training rows."""
     means, stds = V.fit_array_scaler(train.select(vector_to_array("features").alias("x")), "x")
-
-    def prep(df):
-        return df.withColumn("features", array_to_vector(V.scale_array(vector_to_array("features"), means, stds)))
-
-    rows = prep(train.withColumn("part", F.lit("train")).unionByName(val.withColumn("part", F.lit("val")))).persist(StorageLevel.MEMORY_AND_DISK)
-    tr = rows.where(F.col("part") == "train")
-    layers = [len(means), *cfg.mlp_hidden, 2]
-    weights = None
-    best, best_acc, since = None, -1.0, 0
-    history = []
-    for chunk in range(cfg.mlp_max_chunks):
-        kw = dict(featuresCol="features", labelCol="label", layers=layers, maxIter=cfg.mlp_chunk_iters,
-                  seed=seed, solver="l-bfgs", blockSize=128)
-        if weights is not None:
-            kw["initialWeights"] = weights
-        model = MultilayerPerceptronClassifier(**kw).fit(tr)
-        weights = model.weights
-        # loss and accuracy of both parts in one pass over the scaled rows
-        scored = model.transform(rows).select("part", "label", "prediction", vector_to_array("probability")[1].alias("p1"))
-        got = {r["part"]: r for r in scored.groupBy("part").agg(
-            (F.avg((F.col("label") == F.col("prediction")).cast("double")) * 100).alias("acc"),
-            F.avg(metrics.log_loss_row("label", "p1")).alias("loss")).collect()}
-        step = (chunk + 1) * cfg.mlp_chunk_iters
-        history += [(step, part, float(got[part]["loss"]), float(got[part]["acc"])) for part in ("train", "val") if part in got]
-        acc = float(got["val"]["acc"]) if "val" in got else 0.0
-        if acc > best_acc:
-            best, best_acc, since = model, acc, 0
-        else:
-            since += 1
-            if since >= cfg.patience:
-                break
-    rows.unpersist()
-    parts = {"mlp": best, "means": means, "stds": stds}
-    return mlp_scorer(parts), parts, {"layers": layers}, history
+    rows = train.withColumn("val", F.lit(0)).unionByName(val.withColumn("val", F.lit(1)))
+    rows = rows.withColumn("features", array_to_vector(V.scale_array(vector_to_array("features"), means, stds)))
+    s = NN.Settings(hidden=tuple(cfg.mlp_hidden), dropout=cfg.mlp_dropout, batch_rows=cfg.mlp_batch_rows, batches=cfg.mlp_batches, epochs=cfg.mlp_epochs,
+                    rate=cfg.mlp_rate, decay=cfg.mlp_decay, patience=cfg.patience, seed=seed)
+    net, history, best = NN.train(NN.pack(rows, len(means)), len(means), s)
+    parts = {**net.plain(), "scale_means": list(means), "scale_stds": list(stds)}
+    return mlp_scorer(parts), parts, {"layers": [len(means), *cfg.mlp_hidden, 2], "epoch": best}, history
 
 
 def mlp_scorer(parts: dict) -> Scorer:
-    return ml_scorer(parts["mlp"], lambda df: df.withColumn("features", array_to_vector(
-        V.scale_array(vector_to_array("features"), parts["means"], parts["stds"]))))
+    net, means, stds = NN.Network.of(parts), parts["scale_means"], parts["scale_stds"]
+
+    def scorer(df: DataFrame) -> DataFrame:
+        x = array_to_vector(V.scale_array(vector_to_array("features"), means, stds))
+        return NN.score(net, df.select("id", *_label_of(df), x.alias("features")))
+    return scorer
 
 
 # --- harness -----------------------------------------------------------------------

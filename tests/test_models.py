@@ -16,11 +16,11 @@ from lifeboat.sources import bindings as B
 
 FAST = C.TrainingConfig(
     fit_partitions=4, age_forest_trees=10, rf_trees=20, xgb_rounds=30, early_stopping_rounds=5,
-    gb_grid={"maxIter": (5,), "stepSize": (0.1,), "maxDepth": (3, 4), "minInstancesPerNode": (1,),
+    gb_grid={"maxIter": (5, 40), "stepSize": (0.1,), "maxDepth": (3, 4), "minInstancesPerNode": (1,),
              "subsamplingRate": (1.0,)},
     svm_grid={"C": (1.0,), "gamma": ("scale",)}, rff_dim=64, svm_max_iter=60,
     knn_grid={"k": (3, 7), "weights": ("uniform", "distance"), "p": (1, 2)},
-    mlp_hidden=(8,), mlp_chunk_iters=20, mlp_max_chunks=4, patience=2,
+    mlp_epochs=28,
 )
 
 
@@ -157,3 +157,22 @@ def test_fitted_report_names(docs):
     assert {"Did Not Survive", "Survived", "accuracy", "macro avg", "weighted avg"} <= names
     cm = f.confusion().collect()
     assert sum(r["pred_0"] + r["pred_1"] for r in cm) == f.validation.count()
+
+
+def test_logistic_regression_is_at_its_penalised_optimum(docs):
+    """The gradient of weighted loss and penalty, the intercept's included, vanishes at the coefficients."""
+    import numpy as np
+    from pyspark.ml.functions import vector_to_array
+    from lifeboat.plans.models import fit_logistic
+    lab = docs.where("is_train").select("id", F.col("label").cast("double").alias("label"), "features")
+    _, model, params = fit_logistic(lab, FAST, 1)
+    rows = lab.select("label", vector_to_array("features").alias("x")).collect()
+    x = np.array([[*r["x"], 1.0] for r in rows])
+    y = np.array([r["label"] for r in rows])
+    weight = np.where(y == 1, len(y) / (2 * (y == 1).sum()), len(y) / (2 * (y == 0).sum()))
+    w = np.array(model.coefficients)
+    assert len(w) == x.shape[1] and model.intercept == 0.0 and params["regParam"] == 1 / len(y)
+    p = 1 / (1 + np.exp(-x @ w))
+    scale = np.maximum(x.std(0), 1.0)                   # per unit of each feature's spread
+    grad = ((weight * (p - y)) @ x / len(y) + w / len(y)) / scale
+    assert np.abs(grad).max() < 1e-6
