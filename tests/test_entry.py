@@ -42,3 +42,19 @@ def test_query_matches_oracle(spark, duck, name):
     assert cs == cd
     assert len(srows) == len(drows)
     assert hs == hd, (sorted(set(ls) - set(ld))[:3], sorted(set(ld) - set(ls))[:3])
+
+
+def test_entry_without_the_libraries_of_the_subpackage(monkeypatch):
+    """A library that only the training-data operators need takes none of the other queries away."""
+    import importlib
+
+    real = importlib.import_module
+
+    def missing(name, *args):
+        if name.startswith(("lifeboat.llm", "corpus_pipeline")):
+            raise ModuleNotFoundError("No module named 'somelib'", name="somelib")
+        return real(name, *args)
+
+    monkeypatch.setattr(importlib, "import_module", missing)
+    with pytest.warns(UserWarning, match="somelib"):
+        assert E._optional("lifeboat.llm.catalog", ("lifeboat.llm",)) == {}
