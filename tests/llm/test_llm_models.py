@@ -193,4 +193,4 @@ def test_pipeline(spark):
 
 def test_queries_registered():
     names = E.queries()
-    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 14)) and "pipeline" in names
