@@ -9,11 +9,12 @@ when no survivor is a part of a longer term, the survivors are the complete kept
 Rare terms (most of a vocabulary) leave at a short prefix, before they cross the network.
 
 What the next level needs of the survivors is a bit set of ``filter_bits`` bits (a fixed size, however
-many survivors there are), in which each survivor sets the bit of its checksum. A clash of
-checksums lets a prefix through that is counted and dropped one level later; it never changes the result.
+many survivors there are), in which each survivor sets the bit of its hash. A clash of
+hashes lets a prefix through that is counted and dropped one level later; it never changes the result.
 
-Each document's distinct terms and their counts are staged once, narrow; every level is one pass
-over them, combined in the task before a grouped sum. Counts per (language, source, term) of the kept terms
+Documents are read once and staged in blocks: a dictionary of the block's terms, and per document the codes and
+counts of its distinct terms. A level is one pass over the blocks that looks at each term of a dictionary once,
+counts documents by code, and combines in the task before a grouped sum. Counts per (language, source, term) of the kept terms
 are then one grouped table; shares are exact decimals and the rest is joins on it.
 Sums over pairs of sources are made of blocks of about ``block_terms`` terms, all sources of a
 language at a time and ``tile`` by ``tile`` of them, so neither a language with many sources
@@ -25,23 +26,22 @@ is a group, also without terms; repeated rows are documents of their own; an emp
 
 from __future__ import annotations
 
-import re
-from binascii import crc32
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lifeboat.llm.common import map_columns, stage
 
-# In UTF-8 every byte of a character beyond ASCII is 0x80 or more, so the bytes are matched.
-_TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
-#: Entries a task holds before it hands its partial counts on.
-_HELD = 400_000
+# Bytes that end a term become spaces and A-Z lower case; in UTF-8 every byte of a character beyond ASCII is 0x80 or more and stays.
+_FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 32 for c in range(256))
+_U = np.uint64
 
 
 @dataclass(frozen=True)
@@ -58,38 +58,124 @@ class Settings:
 
 def terms_of(text: bytes) -> dict[bytes, int]:
     """The terms of a text with their counts; only A-Z become lower case."""
-    return Counter(_TERM.findall(text.lower()))
+    return Counter(text.translate(_FOLD).split())
+
+
+class _Codes(dict):
+    """Numbers the terms of one language as they come."""
+
+    def __init__(self, terms: list[bytes]):
+        super().__init__()
+        self.terms, self.new = terms, []
+
+    def __missing__(self, term: bytes) -> int:
+        code = self[term] = len(self.terms)
+        self.terms.append(term)
+        self.new.append(code)
+        return code
+
+
+BLOCK = "langs array<string>, sources array<string>, doc_lang binary, doc_source binary, doc_terms binary, terms array<binary>, term_lang binary, codes binary, counts binary"
+#: Bytes of text in one block.
+_BLOCK_BYTES = 12_000_000
+
+
+def _encode_block(rows: list[tuple[str, str, bytes]]) -> pa.RecordBatch:
+    langs, sources, terms = {}, {}, []
+    by_lang: list[_Codes] = []
+    doc_lang, doc_source, sizes, codes, counts = (array("i") for _ in range(5))
+    for lang, source, text in rows:
+        l = langs.setdefault(lang, len(langs))
+        if l == len(by_lang):
+            by_lang.append(_Codes(terms))
+        got = terms_of(text)
+        doc_lang.append(l)
+        doc_source.append(sources.setdefault(source, len(sources)))
+        sizes.append(len(got))
+        codes.extend(map(by_lang[l].__getitem__, got))
+        counts.extend(got.values())
+    term_lang = np.zeros(len(terms), np.int32)
+    for l, d in enumerate(by_lang):
+        term_lang[d.new] = l
+    raw = lambda x: pa.array([x.tobytes()], pa.binary())
+    return pa.RecordBatch.from_arrays(
+        [pa.array([list(langs)], pa.list_(pa.string())), pa.array([list(sources)], pa.list_(pa.string())), raw(doc_lang), raw(doc_source), raw(sizes),
+         pa.array([terms], pa.list_(pa.binary())), raw(term_lang), raw(codes), raw(counts)], [c.split()[0] for c in BLOCK.split(", ")])
 
 
 def term_table(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
-    """(lang, source, terms, counts) of every row, staged: its distinct terms, space-joined, and how often each occurs."""
+    """The blocks of all rows, staged."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for b in batches:
-            got = [terms_of(t.as_py()) for t in b.column(2)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([b" ".join(g) for g in got], pa.binary()),
-                                              pa.array([list(g.values()) for g in got], pa.list_(pa.int32()))], ["lang", "source", "terms", "counts"])
+            for row in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                held.append((*row[:2], row[2].as_py()))
+                size += len(held[-1][2]) + 100
+                if size > _BLOCK_BYTES:
+                    yield _encode_block(held)
+                    held, size = [], 0
+        if held:
+            yield _encode_block(held)
 
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    return stage(map_columns(docs, [text(lang_col).alias("lang"), text(source_col).alias("source"), text(text_col).cast("binary").alias("text")],
-                             "lang string, source string, terms binary, counts array<int>", run), "terms")
+    return stage(map_columns(docs, [text(lang_col).alias("lang"), text(source_col).alias("source"), text(text_col).cast("binary").alias("text")], BLOCK, run), "terms")
+
+
+def _ints(value: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), np.int32)
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
+        return x ^ (x >> _U(31))
+
+
+def _lang_seed(lang: str) -> np.uint64:
+    raw = lang.encode("utf-8", "surrogatepass")
+    return prefix_hashes(pa.array([raw], pa.binary()), max(8, len(raw)), _U(0))[0]
+
+
+def prefix_hashes(terms: pa.Array, size: int, seed: np.uint64) -> np.ndarray:
+    """64-bit hashes of the first ``size`` bytes of each term."""
+    offsets = np.frombuffer(terms.buffers()[1], np.int32)[terms.offset:terms.offset + len(terms) + 1].astype(np.int64)
+    data = np.frombuffer(terms.buffers()[2] or b"", np.uint8)
+    have = np.minimum(offsets[1:] - offsets[:-1], size)
+    h = _mix(have.astype(np.uint64) ^ seed)
+    for at in range(0, size, 8):                        # eight bytes at a time, zeros past the end
+        left = have > at
+        if not left.any():
+            break
+        word = np.zeros(int(left.sum()), np.uint64)
+        start, n = offsets[:-1][left] + at, np.minimum(have[left] - at, 8)
+        for i in range(8):
+            more = n > i
+            word[more] |= data[start[more] + i].astype(np.uint64) << _U(8 * i)
+        h[left] = _mix(h[left] ^ _mix(word + _U(at + 1)))
+    return h
 
 
 class Survivors:
-    """Bit set of the prefixes that are left, per language by the checksum it starts from."""
+    """Bit set of the prefixes that are left, by language and prefix."""
 
     def __init__(self, bits: np.ndarray):
-        self.bits, self.mask = bits.tobytes(), 8 * len(bits) - 1
+        self.bits, self.mask = bits, _U(8 * len(bits) - 1)
 
-    def has(self, prefix: bytes, seed: int) -> bool:
-        at = crc32(prefix, seed) & self.mask
-        return bool(self.bits[at >> 3] >> (at & 7) & 1)
+    def has(self, terms: pa.Array, size: int, seed: np.uint64) -> np.ndarray:
+        """Which of ``terms`` have a first ``size`` bytes in the set (all that survive, and those that clash with one)."""
+        at = prefix_hashes(terms, size, seed) & self.mask
+        return (self.bits[(at >> _U(3)).astype(np.int64)] >> (at & _U(7)).astype(np.uint8) & 1).astype(bool)
 
 
-def _bit_set(prefixes: DataFrame, n_bits: int) -> np.ndarray:
+def _bit_set(prefixes: DataFrame, size: int, n_bits: int) -> np.ndarray:
     """The survivors' bit set: their bits as 64-bit words, or-ed per place, at most n_bits / 64 rows to the driver."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at = np.array([crc32(p.as_py(), crc32(l.as_py().encode())) & n_bits - 1 for l, p in zip(b.column(0), b.column(1), strict=True)], np.int64)
+            lang, at = b.column(0).dictionary_encode(), np.zeros(b.num_rows, np.int64)
+            for l, name in enumerate(lang.dictionary.to_pylist()):
+                mine = np.flatnonzero(lang.indices.to_numpy() == l)
+                at[mine] = (prefix_hashes(b.column(1).take(pa.array(mine)), size, _lang_seed(name)) & _U(n_bits - 1)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(at >> 6, pa.int64()), pa.array(np.left_shift(np.int64(1), at & 63))], ["word", "bits"])
 
     rows = map_columns(prefixes, [F.col("lang"), F.col("prefix")], "word long, bits long", run)
@@ -102,83 +188,94 @@ def _bit_set(prefixes: DataFrame, n_bits: int) -> np.ndarray:
 def _level(terms: DataFrame, size: int, before: tuple[int, Survivors] | None, least: int) -> DataFrame:
     """(lang, prefix, n, longer) of the prefixes of ``size`` bytes that extend a survivor and are in ``least`` documents; longer: part of a longer term."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, dict[bytes, bytes | None]] = {}    # per language: term -> prefix, None if no survivor
-        counts: dict[str, Counter] = {}
-        longer: dict[str, set] = {}
-
-        def out() -> pa.RecordBatch:
-            rows = [(l, p, n, p in longer[l]) for l, c in counts.items() for p, n in c.items()]
-            cols = list(zip(*rows, strict=True)) if rows else [()] * 4
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.binary(), pa.int64(), pa.bool_()), strict=True)],
-                                              ["lang", "prefix", "n", "longer"])
-
         for b in batches:
-            for lang, joined in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                seed = crc32(lang.encode())
-                memo = known.setdefault(seed, {})
-                mine, long = counts.setdefault(lang, Counter()), longer.setdefault(lang, set())
-                own = set(joined.as_py().split())
-                for t in own.difference(memo):
-                    if before is None or before[1].has(t[:before[0]], seed):
-                        memo[t] = t[:size]
-                        if len(t) > size:
-                            long.add(t[:size])
-                    else:
-                        memo[t] = None
-                found = {memo[t] for t in own}
-                found.discard(None)
-                mine.update(found)
-            if sum(map(len, known.values())) > _HELD or sum(map(len, counts.values())) > _HELD:
-                yield out()
-                known, counts, longer = {}, {}, {}
-        yield out()
-
-    rows = map_columns(terms, [F.col("lang"), F.col("terms")], "lang string, prefix binary, n long, longer boolean", run)
-    return (rows.groupBy("lang", "prefix").agg(F.sum("n").alias("n"), F.max("longer").alias("longer")).filter(F.col("n") >= least))
-
-
-def kept_terms(terms: DataFrame, s: Settings) -> tuple[DataFrame, Survivors, list[tuple[int, int]]]:
-    """(lang, prefix, n, longer) of the complete kept terms, their bit set, and (bytes, survivors) of each level."""
+            for r in range(b.num_rows):
+                langs, all_terms, term_lang, codes, sizes = b.column(0)[r].as_py(), b.column(3)[r].values, *(_ints(b.column(i)[r]) for i in (4, 5, 2))
+                number, first = np.full(len(all_terms), -1, np.int64), 0       # of each term the prefix, by its place among the block's prefixes
+                names, prefixes, longer = [], [], []
+                for l, lang in enumerate(langs):
+                    mine = np.flatnonzero(term_lang == l)
+                    own = all_terms.take(pa.array(mine))
+                    if before is not None:
+                        ok = before[1].has(own, before[0], _lang_seed(lang))
+                        mine, own = mine[ok], own.filter(pa.array(ok))
+                    coded = pc.binary_slice(own, 0, size).dictionary_encode()
+                    number[mine] = coded.indices.to_numpy() + first
+                    k = len(coded.dictionary)
+                    first += k
+                    names.append(pa.array([lang], pa.string()).take(pa.array(np.zeros(k, np.int64))))
+                    prefixes.append(coded.dictionary)
+                    longer.append(np.bincount(coded.indices.to_numpy(), pc.binary_length(own).to_numpy() > size, k) > 0)
+                if not first:
+                    continue
+                p = number[codes]
+                key = np.sort((np.repeat(np.arange(len(sizes)), sizes) * first + p)[p >= 0])
+                once = key[np.flatnonzero(np.r_[True, key[1:] != key[:-1]])] if len(key) else key      # a document counts once
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays(names), pa.concat_arrays(prefixes), pa.array(np.bincount(once % first, minlength=first)),
+                                                  pa.array(np.concatenate(longer))], ["lang", "prefix", "n", "longer"])
+
+    rows = map_columns(terms, [F.col(c) for c in ("langs", "sources", "doc_terms", "terms", "term_lang", "codes")], "lang string, prefix binary, n long, longer boolean", run)
+    return rows.groupBy("lang", "prefix").agg(F.sum("n").alias("n"), F.max("longer").alias("longer")).filter(F.col("n") >= least)
+
+
+def kept_terms(terms: DataFrame, s: Settings) -> tuple[DataFrame, tuple[int, Survivors], list[tuple[int, int]]]:
+    """(lang, prefix, n, longer) of the complete kept terms, the last level's bytes and bit set, and (bytes, survivors) of each level."""
     size, before, seen = s.first_level, None, []
     while True:
         level = stage(_level(terms, size, before, s.least_docs), "prefixes")
-        survivors = Survivors(_bit_set(level, s.filter_bits))
+        survivors = Survivors(_bit_set(level, size, s.filter_bits))
         n, open_ = level.agg(F.count("*"), F.coalesce(F.max(F.col("longer").cast("int")), F.lit(0))).first()
         seen.append((size, n))
         if not open_:
-            return level, survivors, seen
+            return level, (size, survivors), seen
         size, before = 2 * size, (size, survivors)
 
 
-def term_counts(terms: DataFrame, survivors: Survivors) -> DataFrame:
-    """(lang, source, term, n): occurrences per group of the terms that the survivors' bit set lets through."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, dict[bytes, bool]] = {}
-        counts: dict[tuple[str, str], dict[bytes, int]] = {}
-
-        def out() -> pa.RecordBatch:
-            rows = [(l, s, t, n) for (l, s), c in counts.items() for t, n in c.items()]
-            cols = list(zip(*rows, strict=True)) if rows else [()] * 4
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.binary(), pa.int64()), strict=True)],
-                                              ["lang", "source", "term", "n"])
+def term_counts(terms: DataFrame, last: tuple[int, Survivors]) -> DataFrame:
+    """(lang, source, term, n): occurrences per group of the terms that the survivors' bit set lets through.
 
+    A task hands on one row per language and term, with its sources and counts; they meet by language and term, so
+    a frequent term is as many rows as there are tasks, not documents.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lang, source, joined, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist(), strict=True):
-                seed = crc32(lang.encode())
-                memo, mine = known.setdefault(seed, {}), counts.setdefault((lang, source), {})
-                for t, k in zip(joined.as_py().split(), n, strict=True):
-                    ok = memo.get(t)
-                    if ok is None:
-                        ok = memo[t] = survivors.has(t, seed)
-                    if ok:
-                        mine[t] = mine.get(t, 0) + k
-            if sum(map(len, known.values())) > _HELD or sum(map(len, counts.values())) > _HELD:
-                yield out()
-                known, counts = {}, {}
-        yield out()
-
-    rows = map_columns(terms, [F.col(c) for c in ("lang", "source", "terms", "counts")], "lang string, source string, term binary, n long", run)
-    return rows.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
+            for r in range(b.num_rows):
+                langs, sources, all_terms = b.column(0)[r].as_py(), b.column(1)[r].values, b.column(3)[r].values
+                term_lang, codes, n, sizes = (_ints(b.column(i)[r]) for i in (4, 5, 6, 2))
+                ok = np.zeros(len(all_terms), bool)
+                for l, lang in enumerate(langs):
+                    mine = np.flatnonzero(term_lang == l)
+                    ok[mine] = last[1].has(all_terms.take(pa.array(mine)), last[0], _lang_seed(lang))
+                source = np.repeat(_ints(b.column(7)[r]), sizes)
+                kept = ok[codes]
+                key = codes[kept].astype(np.int64) * max(1, len(sources)) + source[kept]
+                by = np.argsort(key, kind="stable")
+                turn = np.flatnonzero(np.r_[True, key[by][1:] != key[by][:-1]]) if len(by) else by
+                total = np.add.reduceat(n[kept][by].astype(np.int64), turn) if len(by) else np.empty(0, np.int64)
+                key = key[by][turn]
+                term, first = np.unique(key // max(1, len(sources)), return_index=True)
+                cuts = pa.array(np.r_[first, len(key)].astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(langs, pa.string()).take(pa.array(term_lang[term])), all_terms.take(pa.array(term)),
+                     pa.ListArray.from_arrays(cuts, sources.take(pa.array(key % max(1, len(sources))))), pa.ListArray.from_arrays(cuts, pa.array(total))],
+                    ["lang", "term", "sources", "ns"])
+
+    rows = map_columns(terms, [F.col(c) for c in ("langs", "sources", "doc_terms", "terms", "term_lang", "codes", "counts", "doc_source")],
+                       "lang string, term binary, sources array<string>, ns array<long>", run)
+    each = rows.repartition("lang", "term").select("lang", "term", F.explode(F.arrays_zip("sources", "ns")).alias("x"))
+    return each.groupBy("lang", "term", F.col("x.sources").alias("source")).agg(F.sum("x.ns").alias("n"))
+
+
+def _groups(terms: DataFrame) -> DataFrame:
+    """The distinct (lang, source) of all documents."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in range(b.num_rows):
+                langs, sources = b.column(0)[r].values, b.column(1)[r].values
+                key = np.unique(_ints(b.column(2)[r]).astype(np.int64) * len(sources) + _ints(b.column(3)[r]))
+                yield pa.RecordBatch.from_arrays([langs.take(pa.array(key // max(1, len(sources)))), sources.take(pa.array(key % max(1, len(sources))))], ["lang", "source"])
+
+    return map_columns(terms, [F.col(c) for c in ("langs", "sources", "doc_lang", "doc_source")], "lang string, source string", run).distinct()
 
 
 def _share(n: str, total: str, s: Settings) -> Column:
@@ -243,7 +340,7 @@ def audit(docs: DataFrame, settings: Settings = Settings(), text_col: str = "tex
     kept = found.select("lang", F.col("prefix").alias("term"))
     counts = stage(term_counts(terms, survivors).join(kept, ["lang", "term"]).select("lang", "source", "term", "n"), "kept-counts")
     per_lang = kept.groupBy("lang").agg(F.count("*").alias("v")).join(counts.groupBy("lang").agg(F.sum("n").alias("lang_total")), "lang")
-    groups = stage(terms.select("lang", "source").distinct()
+    groups = stage(_groups(terms)
                    .join(counts.groupBy("lang", "source").agg(F.sum("n").alias("total")), ["lang", "source"], "left")
                    .join(per_lang, "lang", "left").na.fill(0, ["total", "v", "lang_total"]), "groups")
     every = counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"))
