@@ -1,4 +1,4 @@
-"""Training-data operators: ten corpus operators and the queries that apply them.
+"""Training-data operators: thirteen corpus operators and the queries that apply them.
 
 Nothing else in the library imports this subpackage; ``__spark_entry__`` adds
 its queries only when it is there.
