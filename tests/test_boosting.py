@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lifeboat.operators import boosting as B
 from lifeboat.operators import metrics
+from lifeboat.operators import together as T
 
 
 def table(spark, n=160, d=4, seed=0):
@@ -136,3 +137,17 @@ def test_cuts(spark):
         assert few[j] == pytest.approx(((v[1:] + v[:-1]) / 2).tolist())
     coarse = B.feature_cuts(df, 4, max_bins=8)
     assert all(len(c) <= 7 and c == sorted(set(c)) for c in coarse) and coarse[3] == pytest.approx([0.5, 1.5])
+
+
+def test_rows_are_dealt_to_tasks_by_their_number(spark, monkeypatch):
+    """Rows of few bytes are work for several tasks, and the trees stay the same; blocks were one task for every 8 MB before."""
+    df, x, _ = table(spark, 300)
+    s = B.Booster(rounds=25, step=0.1, subsample=0.7, columns=0.5, seed=5)
+    cuts = B.feature_cuts(df, 4)
+    one = B.boost(B.pack(df, cuts, 1), cuts, [s])[0]
+    monkeypatch.setattr(B, "BLOCK_ROWS", 20)
+    monkeypatch.setattr(T, "ROWS_PER_TASK", 60)
+    blocks = B.pack(df, cuts, 1)
+    assert blocks.count() == 15 and T.held(blocks).getNumPartitions() == min(5, spark.sparkContext.defaultParallelism)
+    many = B.boost(blocks, cuts, [s])[0]
+    assert many.trees == one.trees and len(many.trees) == 25
