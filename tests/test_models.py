@@ -176,3 +176,15 @@ def test_logistic_regression_is_at_its_penalised_optimum(docs):
     scale = np.maximum(x.std(0), 1.0)                   # per unit of each feature's spread
     grad = ((weight * (p - y)) @ x / len(y) + w / len(y)) / scale
     assert np.abs(grad).max() < 1e-6
+
+
+def test_fits_take_more_partitions_for_more_rows(docs, monkeypatch):
+    """Four partitions held all rows of a fit before, however many."""
+    from lifeboat.operators import layout
+    from lifeboat.plans.models import split_labelled
+    assert layout.partitions_for(6_300_000, 4) == 252 and layout.partitions_for(90, 4) == 4
+    monkeypatch.setattr(layout, "FIT_ROWS", 20)
+    rows = docs.where("is_train").count()
+    sp = split_labelled(docs, 1, 0.2, 4)[2]
+    assert sp.rdd.getNumPartitions() == -(-rows // 20) > 4
+    sp.unpersist()
