@@ -188,3 +188,8 @@ def test_fits_take_more_partitions_for_more_rows(docs, monkeypatch):
     sp = split_labelled(docs, 1, 0.2, 4)[2]
     assert sp.rdd.getNumPartitions() == -(-rows // 20) > 4
     sp.unpersist()
+
+
+def test_svm_query_searches_the_whole_grid():
+    """Two of the twelve combinations were searched before."""
+    assert C.QUERY_CONFIG.svm_grid == C.SVM_GRID
