@@ -8,10 +8,11 @@ smallest hash (at most 64), so text is sent about three times, packed.
 
 A shard concatenates its distinct segments and builds an FM-index over their words:
 the Burrows-Wheeler transform from a suffix order of 32 words, kept as a
-wavelet matrix of packed bits with block counts. The segments are then streamed
-against it: backward search over the wavelet matrix finds, for each end, how far the
+wavelet matrix of packed bits with block counts. All windows are then run
+against it together: backward search over the wavelet matrix finds, for each end, how far the
 match with another place reaches (matching statistics, cut at a window), and intervals
-that reach the threshold are reported. The suffix interval of a window holds all its
+that reach the threshold are reported. The first words of a search are looked up: the suffix
+order is made by doubling, and the intervals of its last but one step are kept. The suffix interval of a window holds all its
 places, so the earliest start is known, and every later one is removed.
 
 Skew: segments equal within a map task leave it once, its other places being
@@ -34,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -159,13 +161,17 @@ def _pack(text: list[bytes], anchor: np.ndarray, again: np.ndarray, id_: np.ndar
     return zstandard.ZstdCompressor(level=6).compress(head + nums + b"\n".join(text))
 
 
-def _unpack(blob: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _unpack(blob: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     b = zstandard.ZstdDecompressor().decompress(blob)
     n = int(np.frombuffer(b, np.int64, 1)[0])
     anchor = np.frombuffer(b, np.uint32, n, 8)
     id_, row, start = (np.frombuffer(b, np.int64, n, 8 + 4 * n + 8 * n * i) for i in range(3))
     again = np.frombuffer(b, np.uint8, n, 8 + 28 * n).astype(bool)
-    return b[8 + 29 * n:].split(b"\n"), anchor, np.cumsum(id_), np.cumsum(row), start, again
+    return _split(pa.array([b[8 + 29 * n:]], pa.large_binary()), b"\n").flatten(), anchor, np.cumsum(id_), np.cumsum(row), start, again
+
+
+def _split(texts: pa.Array, mark: bytes) -> pa.Array:
+    return pc.split_pattern(texts, pattern=mark)
 
 
 def _ranges(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
@@ -203,23 +209,30 @@ class FMIndex:
 
     def __init__(self, text: np.ndarray, depth: int):
         n, sigma = len(text), int(text.max()) + 1
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=sigma))])
+        self.known, self.group, self.edge = 1, text, self.first
         rank, have = text.astype(np.int64), 1
         while True:                                     # suffix order by prefix doubling, to ``depth`` symbols
-            order = np.argsort(rank, kind="stable")
+            order = np.argsort(rank)
             if have >= depth:
                 break
+            new = np.flatnonzero(np.r_[True, rank[order[1:]] != rank[order[:-1]]])
             dense = np.empty(n, np.int64)
-            dense[order] = np.cumsum(np.r_[0, rank[order][1:] != rank[order][:-1]])
+            dense[order] = np.repeat(np.arange(len(new)), np.diff(np.r_[new, n]))
+            self.known, self.group, self.edge = have, dense, np.r_[new, n]
             nxt = np.zeros(n, np.int64)
             nxt[:-have] = dense[have:] + 1
             rank = dense * (n + 2) + nxt
             have *= 2
         self.n, self.order = n, order
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=sigma))])
         self.wavelet = Wavelet(text[order - 1], sigma)  # the last symbol precedes the first suffix
         symbols = np.arange(sigma)
         self.shift = self.first[:-1] - self.wavelet.place(symbols, np.zeros(sigma, np.int64))
 
+    def start(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The intervals of the ``known`` symbols of the text from each place ``at``: where a search begins."""
+        return self.edge[self.group[at]], self.edge[self.group[at] + 1]
+
     def extend(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """One step of backward search: the intervals of symbol + pattern."""
         k = len(symbol)
@@ -230,63 +243,43 @@ class FMIndex:
 def repeated_windows(index: FMIndex, text: np.ndarray, base: np.ndarray, size: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text place, low, high) of every window of the segments that has another place in the index.
 
-    All segments go backwards in step. A pattern with one place left fails
-    every window that holds it, so the search goes on one word to the left.
+    All windows go backwards in step, from the last words that the index knows;
+    one that has a single place left cannot repeat and is dropped.
     """
-    out_place, out_low, out_high = [], [], []
-    end = base + size                                   # one past the pattern's last word
-    least = base + window
-    active = np.flatnonzero(end >= least)
-    at, low, high = end.copy(), np.zeros(len(base), np.int64), np.zeros(len(base), np.int64)
-    while len(active):
-        a, e = at[active] - 1, end[active]
-        symbol = text[a]
-        fresh = at[active] == e
-        lo, hi = index.first[symbol], index.first[symbol + 1]
-        go = np.flatnonzero(~fresh)
-        if len(go):
-            lo[go], hi[go] = index.extend(symbol[go], low[active[go]], high[active[go]])
-        alone = hi - lo < 2
-        whole = ~alone & (e - a == window)
-        if whole.any():
-            out_place.append(a[whole])
-            out_low.append(lo[whole])
-            out_high.append(hi[whole])
-        over = alone | whole
-        at[active], low[active], high[active] = a, lo, hi
-        turn = active[over]
-        end[turn] -= 1
-        at[turn] = end[turn]
-        active = active[end[active] >= least[active]]
-    cat = lambda x: np.concatenate(x) if x else np.empty(0, np.int64)
-    return cat(out_place), cat(out_low), cat(out_high)
+    n = np.maximum(size - window + 1, 0)
+    place = np.repeat(base - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    low, high = index.start(place + window - index.known)
+    for left in range(window - index.known, -1, -1):
+        more = high - low > 1
+        place, low, high = place[more], low[more], high[more]
+        if left:
+            low, high = index.extend(text[place + left - 1], low, high)
+    return place, low, high
 
 
 def shard_ranges(blobs: list[bytes], window: int) -> pa.RecordBatch:
     """Ranges of words (row, start, end) that the windows of one shard remove."""
     parts = [_unpack(b) for b in blobs]
-    texts = [t for p in parts for t in p[0]]
+    texts = pa.concat_arrays([p[0] for p in parts])
     anchor, id_, row, start, again = (np.concatenate([p[i] for p in parts]) for i in range(1, 6))
     shared, which, n = np.unique(anchor, return_inverse=True, return_counts=True)
     keep = np.flatnonzero((n[which] > 1) | again)       # others cannot repeat
-    numbers: dict[bytes, int] = {}
-    seg = np.fromiter((numbers.setdefault(texts[i], len(numbers)) for i in keep.tolist()), np.int64, len(keep))
+    numbers = texts.take(pa.array(keep)).dictionary_encode()
+    seg = numbers.indices.to_numpy().astype(np.int64)
     id_, row, start = id_[keep], row[keep], start[keep]
     order = np.lexsort((start, row, id_, seg))
     lead = np.r_[True, seg[order][1:] != seg[order][:-1]] if len(order) else np.zeros(0, bool)
     first, later = order[lead], order[~lead]            # first place of each distinct segment, in segment order
-    vocabulary: dict[bytes, int] = {}
-    split = [t.split(b" ") for t in numbers]
-    size = np.array([len(s) for s in split], np.int64)
+    split = _split(numbers.dictionary, b" ")
+    size = pc.list_value_length(split).to_numpy().astype(np.int64)
     later_row, later_start, later_end = row[later], start[later], start[later] + size[seg[later]]
-    if not split:
+    if not len(split):
         return _ranges(later_row, later_start, later_end)
     base = np.cumsum(size + 1) - size - 1
     text = np.zeros(int((size + 1).sum()), np.int64)    # symbol 0 ends each segment
-    flat = np.fromiter((vocabulary.setdefault(w, len(vocabulary) + 1) for s in split for w in s), np.int64, int(size.sum()))
     inside = np.ones(len(text), bool)
     inside[base + size] = False
-    text[inside] = flat
+    text[inside] = split.flatten().dictionary_encode().indices.to_numpy().astype(np.int64) + 1
     index = FMIndex(text, window)
     place, low, high = repeated_windows(index, text, base, size, window)
     # The earliest start of each group of equal windows; all of a group have the same interval.

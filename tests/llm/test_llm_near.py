@@ -152,6 +152,29 @@ def test_fm_index_counts():
         assert sorted(index.order[low[0]:high[0]].tolist()) == places
 
 
+@pytest.mark.parametrize("window", [1, 2, 3, 5, 8, 20])
+def test_windows_are_searched_in_step(window, monkeypatch):
+    """Every repeated window and its places, with a step a word of the window and not one a word of the segments."""
+    rng = np.random.default_rng(window)
+    line = rng.integers(1, 50, 400)
+    size = rng.integers(window, window + 64, 30)
+    cut = [line[i:i + k] for i, k in zip(rng.integers(0, 400 - size), size, strict=True)]
+    base = np.cumsum(size + 1) - size - 1
+    text = np.concatenate([np.r_[c, 0] for c in cut])
+    steps = []
+    extend = substring_dedup.FMIndex.extend
+    monkeypatch.setattr(substring_dedup.FMIndex, "extend", lambda self, *a: steps.append(1) or extend(self, *a))
+    index = substring_dedup.FMIndex(text, window)
+    place, low, high = substring_dedup.repeated_windows(index, text, base, size, window)
+    want = {}
+    for b, k in zip(base.tolist(), size.tolist(), strict=True):
+        for i in range(b, b + k - window + 1):
+            want.setdefault(tuple(text[i:i + window]), []).append(i)
+    got = {p: sorted(index.order[lo:hi].tolist()) for p, lo, hi in zip(place.tolist(), low, high, strict=True)}
+    assert len(got) == len(place) and got == {p: sorted(v) for v in want.values() if len(v) > 1 for p in v}
+    assert len(got) > 20 and len(steps) < window
+
+
 def test_pack_is_valid_and_tight():
     rng = np.random.default_rng(0)
     for _ in range(200):
