@@ -2,19 +2,20 @@
 
 Which terms are kept (those in at least ``least_docs`` documents of a language) is found
 by iceberg prefix refinement. Terms are byte strings. At each level the prefixes
-of terms to that many bytes are counted by distinct documents, and those below the threshold
-are dropped: a term cannot be in more documents than its prefix. The next level, of twice the length,
-only looks at prefixes that extend a survivor. A term no longer than the level is its own prefix;
-when no survivor is a part of a longer term, the survivors are the complete kept terms.
+of terms to that many bytes are counted by documents, and those below the threshold
+are dropped. A prefix's count in a block is the sum of its terms' distinct documents, at most all documents of the
+language there: never less than the documents that have the prefix, so no term in enough documents is lost. The next level, of twice
+the length, only looks at prefixes that extend a survivor. A term no longer than the level is its own prefix;
+when no survivor is a part of a longer term, the survivors are the complete kept terms and their counts are exact.
 Rare terms (most of a vocabulary) leave at a short prefix, before they cross the network.
 
 What the next level needs of the survivors is a bit set of ``filter_bits`` bits (a fixed size, however
 many survivors there are), in which each survivor sets the bit of its hash. A clash of
 hashes lets a prefix through that is counted and dropped one level later; it never changes the result.
 
-Documents are read once and staged in blocks: a dictionary of the block's terms, and per document the codes and
-counts of its distinct terms. A level is one pass over the blocks that looks at each term of a dictionary once,
-counts documents by code, and combines in the task before a grouped sum. Counts per (language, source, term) of the kept terms
+Documents are read once and staged in blocks: a dictionary of the block's terms, and of each term its distinct documents
+and its occurrences by source. Nothing is held by document, neither there nor in the rows that pass through the JVM. A level is one pass
+over the dictionaries that combines in the task before a grouped sum. Counts per (language, source, term) of the kept terms
 are then one grouped table; shares are exact decimals and the rest is joins on it.
 Sums over pairs of sources are made of blocks of about ``block_terms`` terms, all sources of a
 language at a time and ``tile`` by ``tile`` of them, so neither a language with many sources
@@ -75,47 +76,65 @@ class _Codes(dict):
         return code
 
 
-BLOCK = "langs array<string>, sources array<string>, doc_lang binary, doc_source binary, doc_terms binary, terms array<binary>, term_lang binary, codes binary, counts binary"
+BLOCK = "langs array<string>, sources array<string>, lang_docs binary, group_lang binary, group_source binary, terms array<binary>, term_lang binary, term_docs binary, starts binary, source binary, counts binary"
 #: Bytes of text in one block.
 _BLOCK_BYTES = 12_000_000
+#: Rows that a task hands to the JVM at once.
+_BATCH_ROWS = 1 << 14
 
 
-def _encode_block(rows: list[tuple[str, str, bytes]]) -> pa.RecordBatch:
-    langs, sources, terms = {}, {}, []
-    by_lang: list[_Codes] = []
-    doc_lang, doc_source, sizes, codes, counts = (array("i") for _ in range(5))
-    for lang, source, text in rows:
-        l = langs.setdefault(lang, len(langs))
-        if l == len(by_lang):
-            by_lang.append(_Codes(terms))
+class _Block:
+    """Documents as they come, held as the codes and counts of their distinct terms until the block is full."""
+
+    def __init__(self):
+        self.langs, self.sources, self.terms, self.by_lang, self.size = {}, {}, [], [], 0
+        self.doc_lang, self.doc_source, self.sizes, self.codes, self.counts = (array("i") for _ in range(5))
+
+    def add(self, lang: str, source: str, text: bytes) -> None:
+        l = self.langs.setdefault(lang, len(self.langs))
+        if l == len(self.by_lang):
+            self.by_lang.append(_Codes(self.terms))
         got = terms_of(text)
-        doc_lang.append(l)
-        doc_source.append(sources.setdefault(source, len(sources)))
-        sizes.append(len(got))
-        codes.extend(map(by_lang[l].__getitem__, got))
-        counts.extend(got.values())
-    term_lang = np.zeros(len(terms), np.int32)
-    for l, d in enumerate(by_lang):
-        term_lang[d.new] = l
-    raw = lambda x: pa.array([x.tobytes()], pa.binary())
-    return pa.RecordBatch.from_arrays(
-        [pa.array([list(langs)], pa.list_(pa.string())), pa.array([list(sources)], pa.list_(pa.string())), raw(doc_lang), raw(doc_source), raw(sizes),
-         pa.array([terms], pa.list_(pa.binary())), raw(term_lang), raw(codes), raw(counts)], [c.split()[0] for c in BLOCK.split(", ")])
+        self.doc_lang.append(l)
+        self.doc_source.append(self.sources.setdefault(source, len(self.sources)))
+        self.sizes.append(len(got))
+        self.codes.extend(map(self.by_lang[l].__getitem__, got))
+        self.counts.extend(got.values())
+        self.size += len(text) + 100
+
+    def encode(self) -> pa.RecordBatch:
+        """One row: per term its language, its documents, and from ``starts`` on its sources with the occurrences in each."""
+        doc_lang, doc_source, sizes, codes, counts = (np.frombuffer(x, np.int32) for x in (self.doc_lang, self.doc_source, self.sizes, self.codes, self.counts))
+        n_sources, term_lang = len(self.sources), np.zeros(len(self.terms), np.int32)
+        for l, d in enumerate(self.by_lang):
+            term_lang[d.new] = l
+        group = np.unique(doc_lang.astype(np.int64) * n_sources + doc_source)
+        key = codes.astype(np.int64) * n_sources + np.repeat(doc_source, sizes)
+        by = np.argsort(key)
+        key = key[by]
+        turn = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else by
+        total = np.add.reduceat(counts[by], turn, dtype=np.int64) if len(key) else turn
+        key = key[turn]
+        raw = lambda x: pa.array([x.astype(np.int32).tobytes()], pa.binary())
+        return pa.RecordBatch.from_arrays(
+            [pa.array([list(self.langs)], pa.list_(pa.string())), pa.array([list(self.sources)], pa.list_(pa.string())), raw(np.bincount(doc_lang)),
+             raw(group // n_sources), raw(group % n_sources), pa.array([self.terms], pa.list_(pa.binary())), raw(term_lang),
+             raw(np.bincount(codes, minlength=len(self.terms))), raw(np.searchsorted(key, np.arange(len(self.terms) + 1) * n_sources)), raw(key % n_sources), raw(total)],
+            [c.split()[0] for c in BLOCK.split(", ")])
 
 
 def term_table(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
     """The blocks of all rows, staged."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        block = _Block()
         for b in batches:
-            for row in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
-                held.append((*row[:2], row[2].as_py()))
-                size += len(held[-1][2]) + 100
-                if size > _BLOCK_BYTES:
-                    yield _encode_block(held)
-                    held, size = [], 0
-        if held:
-            yield _encode_block(held)
+            for lang, source, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                block.add(lang, source, text.as_py())
+                if block.size > _BLOCK_BYTES:
+                    yield block.encode()
+                    block = _Block()
+        if block.size:
+            yield block.encode()
 
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     return stage(map_columns(docs, [text(lang_col).alias("lang"), text(source_col).alias("source"), text(text_col).cast("binary").alias("text")], BLOCK, run), "terms")
@@ -125,6 +144,11 @@ def _ints(value: pa.Scalar) -> np.ndarray:
     return np.frombuffer(value.as_buffer(), np.int32)
 
 
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for at in range(0, batch.num_rows, _BATCH_ROWS):
+        yield batch.slice(at, _BATCH_ROWS)
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
@@ -186,13 +210,12 @@ def _bit_set(prefixes: DataFrame, size: int, n_bits: int) -> np.ndarray:
 
 
 def _level(terms: DataFrame, size: int, before: tuple[int, Survivors] | None, least: int) -> DataFrame:
-    """(lang, prefix, n, longer) of the prefixes of ``size`` bytes that extend a survivor and are in ``least`` documents; longer: part of a longer term."""
+    """(lang, prefix, n, longer) of the prefixes of ``size`` bytes that extend a survivor and count ``least`` documents; longer: part of a longer term."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in range(b.num_rows):
-                langs, all_terms, term_lang, codes, sizes = b.column(0)[r].as_py(), b.column(3)[r].values, *(_ints(b.column(i)[r]) for i in (4, 5, 2))
-                number, first = np.full(len(all_terms), -1, np.int64), 0       # of each term the prefix, by its place among the block's prefixes
-                names, prefixes, longer = [], [], []
+                langs, all_terms, lang_docs, term_lang, docs = b.column(0)[r].as_py(), b.column(2)[r].values, *(_ints(b.column(i)[r]) for i in (1, 3, 4))
+                names, prefixes, counts, longer = [], [], [], []
                 for l, lang in enumerate(langs):
                     mine = np.flatnonzero(term_lang == l)
                     own = all_terms.take(pa.array(mine))
@@ -200,21 +223,15 @@ def _level(terms: DataFrame, size: int, before: tuple[int, Survivors] | None, le
                         ok = before[1].has(own, before[0], _lang_seed(lang))
                         mine, own = mine[ok], own.filter(pa.array(ok))
                     coded = pc.binary_slice(own, 0, size).dictionary_encode()
-                    number[mine] = coded.indices.to_numpy() + first
-                    k = len(coded.dictionary)
-                    first += k
+                    at, k = coded.indices.to_numpy(), len(coded.dictionary)
                     names.append(pa.array([lang], pa.string()).take(pa.array(np.zeros(k, np.int64))))
                     prefixes.append(coded.dictionary)
-                    longer.append(np.bincount(coded.indices.to_numpy(), pc.binary_length(own).to_numpy() > size, k) > 0)
-                if not first:
-                    continue
-                p = number[codes]
-                key = np.sort((np.repeat(np.arange(len(sizes)), sizes) * first + p)[p >= 0])
-                once = key[np.flatnonzero(np.r_[True, key[1:] != key[:-1]])] if len(key) else key      # a document counts once
-                yield pa.RecordBatch.from_arrays([pa.concat_arrays(names), pa.concat_arrays(prefixes), pa.array(np.bincount(once % first, minlength=first)),
-                                                  pa.array(np.concatenate(longer))], ["lang", "prefix", "n", "longer"])
-
-    rows = map_columns(terms, [F.col(c) for c in ("langs", "sources", "doc_terms", "terms", "term_lang", "codes")], "lang string, prefix binary, n long, longer boolean", run)
+                    counts.append(np.minimum(np.bincount(at, docs[mine], k).astype(np.int64), lang_docs[l]))
+                    longer.append(np.bincount(at, pc.binary_length(own).to_numpy() > size, k) > 0)
+                yield from _pieces(pa.RecordBatch.from_arrays([pa.concat_arrays(names), pa.concat_arrays(prefixes), pa.array(np.concatenate(counts)),
+                                                               pa.array(np.concatenate(longer))], ["lang", "prefix", "n", "longer"]))
+
+    rows = map_columns(terms, [F.col(c) for c in ("langs", "lang_docs", "terms", "term_lang", "term_docs")], "lang string, prefix binary, n long, longer boolean", run)
     return rows.groupBy("lang", "prefix").agg(F.sum("n").alias("n"), F.max("longer").alias("longer")).filter(F.col("n") >= least)
 
 
@@ -240,27 +257,21 @@ def term_counts(terms: DataFrame, last: tuple[int, Survivors]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in range(b.num_rows):
-                langs, sources, all_terms = b.column(0)[r].as_py(), b.column(1)[r].values, b.column(3)[r].values
-                term_lang, codes, n, sizes = (_ints(b.column(i)[r]) for i in (4, 5, 6, 2))
+                langs, sources, all_terms = b.column(0)[r].as_py(), b.column(1)[r].values, b.column(2)[r].values
+                term_lang, starts, source, n = (_ints(b.column(i)[r]) for i in (3, 4, 5, 6))
                 ok = np.zeros(len(all_terms), bool)
                 for l, lang in enumerate(langs):
                     mine = np.flatnonzero(term_lang == l)
                     ok[mine] = last[1].has(all_terms.take(pa.array(mine)), last[0], _lang_seed(lang))
-                source = np.repeat(_ints(b.column(7)[r]), sizes)
-                kept = ok[codes]
-                key = codes[kept].astype(np.int64) * max(1, len(sources)) + source[kept]
-                by = np.argsort(key, kind="stable")
-                turn = np.flatnonzero(np.r_[True, key[by][1:] != key[by][:-1]]) if len(by) else by
-                total = np.add.reduceat(n[kept][by].astype(np.int64), turn) if len(by) else np.empty(0, np.int64)
-                key = key[by][turn]
-                term, first = np.unique(key // max(1, len(sources)), return_index=True)
-                cuts = pa.array(np.r_[first, len(key)].astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
+                size = np.diff(starts)
+                term, entry = np.flatnonzero(ok), np.repeat(ok, size)
+                cuts = pa.array(np.r_[0, np.cumsum(size[ok])].astype(np.int32))
+                yield from _pieces(pa.RecordBatch.from_arrays(
                     [pa.array(langs, pa.string()).take(pa.array(term_lang[term])), all_terms.take(pa.array(term)),
-                     pa.ListArray.from_arrays(cuts, sources.take(pa.array(key % max(1, len(sources))))), pa.ListArray.from_arrays(cuts, pa.array(total))],
-                    ["lang", "term", "sources", "ns"])
+                     pa.ListArray.from_arrays(cuts, sources.take(pa.array(source[entry]))), pa.ListArray.from_arrays(cuts, pa.array(n[entry].astype(np.int64)))],
+                    ["lang", "term", "sources", "ns"]))
 
-    rows = map_columns(terms, [F.col(c) for c in ("langs", "sources", "doc_terms", "terms", "term_lang", "codes", "counts", "doc_source")],
+    rows = map_columns(terms, [F.col(c) for c in ("langs", "sources", "terms", "term_lang", "starts", "source", "counts")],
                        "lang string, term binary, sources array<string>, ns array<long>", run)
     each = rows.repartition("lang", "term").select("lang", "term", F.explode(F.arrays_zip("sources", "ns")).alias("x"))
     return each.groupBy("lang", "term", F.col("x.sources").alias("source")).agg(F.sum("x.ns").alias("n"))
@@ -271,11 +282,9 @@ def _groups(terms: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in range(b.num_rows):
-                langs, sources = b.column(0)[r].values, b.column(1)[r].values
-                key = np.unique(_ints(b.column(2)[r]).astype(np.int64) * len(sources) + _ints(b.column(3)[r]))
-                yield pa.RecordBatch.from_arrays([langs.take(pa.array(key // max(1, len(sources)))), sources.take(pa.array(key % max(1, len(sources))))], ["lang", "source"])
+                yield pa.RecordBatch.from_arrays([b.column(i)[r].values.take(pa.array(_ints(b.column(i + 2)[r]))) for i in (0, 1)], ["lang", "source"])
 
-    return map_columns(terms, [F.col(c) for c in ("langs", "sources", "doc_lang", "doc_source")], "lang string, source string", run).distinct()
+    return map_columns(terms, [F.col(c) for c in ("langs", "sources", "group_lang", "group_source")], "lang string, source string", run).distinct()
 
 
 def _share(n: str, total: str, s: Settings) -> Column:

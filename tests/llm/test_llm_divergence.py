@@ -83,3 +83,26 @@ def test_refinement_keeps_the_iceberg(spark):
         assert got == {k: n for k, n in held.items() if n >= 8}
         assert [n for n, _ in levels] == [2 << i for i in range(len(levels))] and levels[-1][0] >= 300
         check(df, s)
+
+
+def test_blocks_hold_nothing_by_document(spark):
+    """Ten times the documents of the same terms make a block's row no larger."""
+    def held(n):
+        rows = [(f"one two three {['four', 'five'][i % 2]} two", ["en", "fr"][i % 2], f"s{i % 3}") for i in range(n)]
+        blocks = dv.term_table(spark.createDataFrame(rows, "text string, lang string, source string").coalesce(1), "text", "lang", "source")
+        (r,) = blocks.collect()
+        return sum(len(x) if isinstance(x, (bytes, bytearray)) else sum(map(len, x)) for x in r)
+    assert held(300) == held(3000)
+
+
+def test_prefix_counts_are_bounds(spark):
+    """Of each prefix, at least the documents that have it and at most all of the language; exact where it is a whole term."""
+    df = edge_docs(spark)
+    docs = [(r["lang"] or "", set(plain_terms(r["text"]))) for r in df.collect()]
+    terms = dv.term_table(df, "text", "lang", "source")
+    for size in (1, 2, 4, 30_000):
+        real = Counter((l, p) for l, ts in docs for p in {t.encode()[:size] for t in ts})
+        got = {(r["lang"], bytes(r["prefix"])): r["n"] for r in dv._level(terms, size, None, 1).collect()}
+        every = Counter(l for l, _ in docs)
+        assert got.keys() == real.keys() and all(real[k] <= n <= every[k[0]] for k, n in got.items())
+        assert size < 30_000 or got == real
