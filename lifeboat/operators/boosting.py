@@ -17,7 +17,7 @@ Two kinds of model share the engine:
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -374,6 +374,243 @@ def _label_counts(blocks: DataFrame, specs: list[Booster]) -> list[tuple[float,
     return [(sum(r["pos"] for r in rows if r["fold"] != s.fold), sum(r["n"] for r in rows if r["fold"] != s.fold)) for s in specs]
 
 
+# --- all rows in a task --------------------------------------------------------------------
+
+#: Bytes of packed rows that a task may hold whole; beyond them the rows of a fit are dealt to tasks (``boost``).
+WHOLE_BYTES = 64 * 1024 * 1024
+#: Tasks for each that runs at once, so that long fits do not come last.
+_WAVES = 3
+
+
+class _Whole:
+    """All rows of a fit as groups with equal bins, which have the same margin under every model.
+
+    A round asks for the rows of each label, fold and group that its tree sees; the row's own hash decides, as in ``boost``.
+    """
+
+    def __init__(self, key: np.ndarray, y: np.ndarray, fold: np.ndarray, bins: np.ndarray, n_bins: int):
+        code = np.zeros(len(key), np.int64)
+        for f in range(bins.shape[1]):
+            code = code * n_bins + bins[:, f]
+            code = np.unique(code, return_inverse=True)[1] if code.size and code.max() > 1 << 40 else code
+        _, first, group = np.unique(code, return_index=True, return_inverse=True)
+        self.key, self.bins = key, bins[first].astype(np.int32)
+        self.flat, self.start = self.bins.ravel(), np.arange(len(first)) * bins.shape[1]
+        self.folds, place = np.unique(fold, return_inverse=True)
+        self.shape = (len(self.folds), len(first), 2)
+        self.slot = (place * len(first) + group) * 2 + (y > 0.5)
+        self.all = self._counts(self.slot)
+
+    def _counts(self, slot: np.ndarray) -> np.ndarray:
+        return np.bincount(slot, minlength=int(np.prod(self.shape))).reshape(self.shape).astype(np.float64)
+
+    def seen(self, s: Booster, number: int) -> np.ndarray:
+        """Rows by fold, group and label that tree ``number`` draws."""
+        return self.all if s.subsample >= 1 else self._counts(self.slot[drawn(self.key, s.seed, number, s.subsample)])
+
+    def sides(self, counts: np.ndarray, fold: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows by group and label outside of the fold, and in it."""
+        inside = counts[self.folds == fold].sum(0)
+        return counts.sum(0) - inside, inside
+
+    def values(self, tree: dict, depth: int) -> np.ndarray:
+        """The value of a tree for each group."""
+        feature, cut, value = (np.array(tree[k]) for k in ("feature", "bin", "value"))
+        for i in range((1 << depth) - 1):                   # below a leaf all rows go left to its value
+            if feature[i] < 0:
+                feature[i], cut[i], value[2 * i + 1], feature[2 * i + 1] = 0, 1 << 30, value[i], -1
+        node = np.zeros(len(self.start), np.int64)
+        for _ in range(depth):
+            node = 2 * node + 1 + (self.flat[self.start + feature[node]] > cut[node])
+        return value[node]
+
+
+@dataclass
+class _Path:
+    """Models whose trees have been the same so far."""
+
+    members: list[int]
+    margins: np.ndarray
+    trees: list[dict]
+    history: list[tuple[int, str, float, float]]
+
+
+def _told(rows: _Whole, fold: int, margin: np.ndarray) -> list[tuple[str, float, float]]:
+    """(train or val, log-loss, accuracy in %) of margins."""
+    out = []
+    for side, n in zip(("train", "val"), rows.sides(rows.all, fold), strict=True):
+        if total := n.sum():
+            loss = sum((_log_loss(np.float64(y), margin) * n[:, y]).sum() for y in (0, 1))
+            hits = np.where(margin > 0, n[:, 1], n[:, 0]).sum()
+            out.append((side, float(loss / total), float(100 * hits / total)))
+    return out
+
+
+def _friedman_gains(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(gain of each node, column and cut, rows on the left, rows on the right, rows of each node) as in ``split_gains``, before any rule on rows; ``sums``: gradients, rows."""
+    left = sums.cumsum(2)
+    right = left[:, :, -1:, :] - left
+    nl, nr, n = left[..., 1], right[..., 1], left[:, :1, -1:, 1]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = nl * nr / np.maximum(n, 1) * (left[..., 0] / _POINT / nl - right[..., 0] / _POINT / nr) ** 2
+    return np.where((nl > 0) & (nr > 0), np.round(gain, 12), -np.inf), nl, nr, n
+
+
+def _chosen(gain: np.ndarray, nl: np.ndarray, nr: np.ndarray, n: np.ndarray, min_split: int, min_leaf: int) -> tuple[tuple[int, int], ...]:
+    """(column, bin) of the best split of each node that keeps the rules, (-1, 0) where there is none."""
+    if min_leaf > 1 or min_split > 2:
+        gain = np.where((nl >= min_leaf) & (nr >= min_leaf) & (n >= min_split), gain, -np.inf)
+    flat, bins = gain.reshape(len(gain), -1), gain.shape[2]
+    return tuple((i // bins, i % bins) if flat[k, i] > 1e-9 else (-1, 0) for k, i in enumerate(flat.argmax(1).tolist()))
+
+
+def _grown(rows: _Whole, specs: list[Booster], members: list[int], margin: np.ndarray, n: np.ndarray, columns: list[int], cuts: list[list[float]],
+           n_bins: int) -> list[tuple[list[int], dict]]:
+    """The next tree of models that agree so far, by the models that agree on it; they may differ in what may be split only."""
+    s = specs[members[0]]
+    at = np.flatnonzero(n.any(1))
+    p = 1 / (1 + np.exp(-margin[at]))
+    neg, pos = n[at, 0], n[at, 1]
+    g = pos * np.rint((p - 1) * _POINT) + neg * np.rint(p * _POINT)
+    count = neg + pos
+    h = count * np.rint(p * (1 - p) * _POINT)
+    binned, start = {f: rows.bins[at, f] for f in columns}, rows.start[at]
+    root = _new(s.depth)
+    root["value"][0] = _leaf((g.sum(), h.sum()), s)
+    done, work = [], [(members, root, 0, np.zeros(len(at), np.int64), np.arange(len(at)))]
+    while work:
+        own, tree, level, node, alive = work.pop()
+        if level == s.depth or (level and not tree["open"]):
+            tree.pop("open")
+            done.append((own, tree))
+            continue
+        first, width, whole = (1 << level) - 1, 1 << level, len(alive) == len(at)
+        of = lambda x: x if whole else x[alive]
+        parts = (of(g), of(count)) if s.kind == "friedman" else (of(g), of(h), of(count))
+        sums = np.empty((len(parts), len(columns), width * n_bins))
+        for c, f in enumerate(columns):
+            place = of(binned[f]) + (node - first) * n_bins
+            for q, w in enumerate(parts):
+                sums[q, c] = np.bincount(place, w, width * n_bins)
+        sums = sums.reshape(len(parts), len(columns), width, n_bins).transpose(2, 1, 3, 0)
+        ways: list[tuple[list[int], dict]] = []
+        if s.kind == "friedman":
+            gain = _friedman_gains(sums[[i - first for i in tree["open"]]])
+            by_rule: dict[tuple, list[int]] = {}
+            for m in own:
+                by_rule.setdefault((specs[m].min_split, specs[m].min_leaf), []).append(m)
+            by_way: dict[tuple, list[int]] = {}
+            for rule, same in by_rule.items():
+                by_way.setdefault(_chosen(*gain, *rule), []).extend(same)
+            for splits, same in by_way.items():
+                t = {k: list(v) for k, v in tree.items()}
+                t["open"] = []
+                for i, (c, cut) in zip(tree["open"], splits, strict=True):
+                    if c >= 0:
+                        t["feature"][i], t["bin"][i], t["cut"][i] = columns[c], cut, float(cuts[columns[c]][cut])
+                        t["open"] += [2 * i + 1, 2 * i + 2]
+                ways.append((same, t))
+        else:
+            t = {k: list(v) for k, v in tree.items()}
+            _split(t, sums.astype(np.int64), s, columns, cuts, level)
+            ways.append((own, t))
+        for same, t in ways:
+            feature, cut = np.asarray(t["feature"]), np.asarray(t["bin"])
+            f = feature[node]
+            rest, down = alive, node
+            if (f < 0).any():
+                on = np.flatnonzero(f >= 0)
+                rest, down, f = alive[on], node[on], f[on]
+            below = 2 * down + 1 + (rows.flat[(start if len(rest) == len(at) else start[rest]) + f] > cut[down])
+            if s.kind == "friedman":
+                own_rows = lambda x, rest=rest: x if len(rest) == len(at) else x[rest]
+                total = [np.bincount(below - 2 * first - 1, own_rows(x), 2 * width) for x in (g, h)]
+                for i in t["open"]:
+                    t["value"][i] = _leaf((total[0][i - 2 * first - 1], total[1][i - 2 * first - 1]), s)
+            work.append((same, t, level + 1, below, rest))
+    return done
+
+
+def _boost_whole(rows: _Whole, cuts: list[list[float]], specs: list[Booster], at: frozenset[int] | None) -> list[Boosted]:
+    """``boost`` over rows that one task holds. ``at``: numbers of rounds after which losses are noted, None: every one."""
+    n_bins, out = max(len(c) for c in cuts) + 1, [Boosted(0.0) for _ in specs]
+    paths: list[_Path] = []
+    start: dict[Booster, list[int]] = {}
+    for m, s in enumerate(specs):
+        if s.prior:
+            neg, pos = rows.sides(rows.all, s.fold)[0].sum(0)
+            out[m].base = float(np.log(max(pos, 1e-9) / max(neg, 1e-9)))
+        alike = replace(s, rounds=0, min_split=0, min_leaf=0) if s.kind == "friedman" and not s.patience else replace(s, rounds=-1 - m)
+        start.setdefault(alike, []).append(m)
+    paths = [_Path(ms, np.zeros(len(rows.start)), [], []) for ms in start.values()]
+    best, number = {}, 0
+    while paths:
+        counts: dict[tuple, np.ndarray] = {}
+        following: list[_Path] = []
+        for path in paths:
+            s, base = specs[path.members[0]], out[path.members[0]].base
+            margin = path.margins + base
+            if number and (s.patience or at is None or number in at):
+                told = _told(rows, s.fold, margin)
+                path.history = path.history + [(number, *t) for t in told]
+                loss = next((t[1] for t in told if t[0] == "val"), None)
+                if loss is not None and loss < best.get(path.members[0], (float("inf"), 0))[0]:
+                    best[path.members[0]] = loss, number
+            tired = bool(s.patience) and number - best.get(path.members[0], (0, 0))[1] >= s.patience
+            for m in path.members:
+                if tired or number >= specs[m].rounds:
+                    out[m].trees, out[m].history, out[m].fitted = list(path.trees), list(path.history), number
+            path.members = [m for m in path.members if not (tired or number >= specs[m].rounds)]
+            if not path.members:
+                continue
+            drawn_by = (s.seed, s.subsample)
+            if drawn_by not in counts:
+                counts[drawn_by] = rows.seen(s, number)
+            n = rows.sides(counts[drawn_by], s.fold)[0]
+            columns = drawn_columns(len(cuts), s.seed, number, s.columns)
+            for same, tree in _grown(rows, specs, path.members, margin, n, columns, cuts, n_bins):
+                following.append(_Path(same, path.margins + rows.values(tree, s.depth), [*path.trees, tree], path.history))
+        paths, number = following, number + 1
+    for m, s in enumerate(specs):
+        if s.patience:
+            out[m].trees = out[m].trees[:best.get(m, (0, 0))[1]]
+    return out
+
+
+def fit(blocks: DataFrame, cuts: list[list[float]], specs: list[Booster], at: set[int] | None = None, trees: bool = True, in_step: int = 24) -> list[Boosted]:
+    """The models of ``boost``, each fitted as a whole by a task that holds all rows, while they are few enough; the models are dealt to tasks.
+
+    There is no job for a level or a round then. More rows than ``WHOLE_BYTES`` are dealt to tasks, ``in_step`` models at a time.
+    ``at``: numbers of rounds after which losses are asked for (None: all); ``trees``: are the trees asked for?
+    """
+    d = len(cuts)
+    n = blocks.agg(F.sum("n")).first()[0] or 0
+    if n * (20 + 2 * d) > WHOLE_BYTES or n > _EXACT_ROWS:
+        return [m for i in range(0, len(specs), in_step) for m in boost(blocks, cuts, specs[i:i + in_step])]
+    sc = blocks.sparkSession.sparkContext
+    packed = blocks.select("key", "y", "fold", "bins").toArrow()        # WHOLE_BYTES at most
+    join = lambda c, t: np.concatenate([np.empty(0, t), *(np.frombuffer(x.as_buffer(), t) for x in packed.column(c))])
+    key, y, fold, bins = join("key", np.uint64), join("y", np.float64), join("fold", np.int32), join("bins", np.uint16).reshape(-1, d)
+    held_by_all = sc.broadcast((key, y > 0.5, fold.astype(np.int16), bins))
+    # Models that may share trees go to the same task, and those that draw the same rows beside each other.
+    kin: dict[tuple, list[int]] = {}
+    for m, s in enumerate(specs):
+        kin.setdefault((s.subsample, s.seed, s.step, s.fold, s.depth, s.kind), []).append(m)
+    families = [kin[k] for k in sorted(kin)]
+    each = max(1, len(families) // (_WAVES * sc.defaultParallelism))
+    parts = [[m for f in families[i:i + each] for m in f] for i in range(0, len(families), each)]
+    asked = None if at is None else frozenset(at)
+    n_bins = max(map(len, cuts)) + 1
+
+    def run(own: list[int]) -> list[tuple]:
+        rows = _Whole(*held_by_all.value, n_bins)
+        return [(m, b.base, b.trees if trees else [], b.history, b.fitted) for m, b in zip(own, _boost_whole(rows, cuts, [specs[m] for m in own], asked), strict=True)]
+
+    got = {m: Boosted(*b) for done in sc.parallelize(parts, len(parts)).map(run).collect() for m, *b in done}
+    held_by_all.destroy()
+    return [got[m] for m in range(len(specs))]
+
+
 def score(model: Boosted, df: DataFrame) -> DataFrame:
     """(id, label if there is one, prediction, p1) of ``df`` (id, features)."""
     label = ["label"] if "label" in df.columns else []

@@ -141,7 +141,8 @@ def grid_combinations(grid: dict) -> list[dict]:
 
 def fit_gradient_boosting(train: DataFrame, cfg: C.TrainingConfig, seed: int):
     """Grid search by nested prefixes: combinations that differ in the number of rounds only are one run, whose validation
-    accuracy after each of those numbers is read off; all other combinations and all folds are boosted in step, ``models_in_step`` at a time."""
+    accuracy after each of those numbers is read off; all other combinations and all folds are dealt to tasks (``BO.fit``), or over very many rows
+    boosted in step, ``models_in_step`` at a time."""
     folded = split.stratified_folds(train, seed=seed, folds=cfg.cv_folds)
     d = _dimensions(train)
     cuts = BO.feature_cuts(train, d, cfg.max_bins)
@@ -157,15 +158,13 @@ def fit_gradient_boosting(train: DataFrame, cfg: C.TrainingConfig, seed: int):
         if rest(c) not in longest or c["maxIter"] > longest[rest(c)]["maxIter"]:
             longest[rest(c)] = c
     runs = [(c, f) for c in longest.values() for f in range(cfg.cv_folds)]
-    after: dict[tuple, dict[int, float]] = {}           # (combination, fold) -> accuracy by number of rounds
-    for at in range(0, len(runs), cfg.models_in_step):
-        part = runs[at:at + cfg.models_in_step]
-        fits = BO.boost(BO.pack(folded, cuts, len(part), F.col("fold")), cuts, [booster(c, c["maxIter"], f) for c, f in part])
-        for (c, f), m in zip(part, fits, strict=True):
-            after[rest(c), f] = {r: acc for r, side, _, acc in m.history if side == "val"}
+    blocks = BO.pack(folded, cuts, cfg.models_in_step, F.col("fold"))
+    fits = BO.fit(blocks, cuts, [booster(c, c["maxIter"], f) for c, f in runs], at={c["maxIter"] for c in combos}, trees=False, in_step=cfg.models_in_step)
+    after = {(rest(c), f): {r: acc for r, side, _, acc in m.history if side == "val"}       # accuracy by number of rounds
+             for (c, f), m in zip(runs, fits, strict=True)}
     search = [(c, sum(after[rest(c), f].get(c["maxIter"], 0.0) for f in range(cfg.cv_folds)) / cfg.cv_folds) for c in combos]
     best = max(enumerate(search), key=lambda t: (t[1][1], -t[0]))[1][0]
-    model = _parts(BO.boost(BO.pack(train, cuts, 1), cuts, [booster(best, best["maxIter"], -1)])[0])
+    model = _parts(BO.fit(BO.pack(train, cuts, 1), cuts, [booster(best, best["maxIter"], -1)], at=set())[0])
     return boosted_scorer(model), model, best, search
 
 
@@ -191,7 +190,7 @@ def fit_boosting_early_stop(train: DataFrame, val: DataFrame, cfg: C.TrainingCon
     rows = train.withColumn("fold", F.lit(0)).unionByName(val.withColumn("fold", F.lit(1)))
     spec = BO.Booster(rounds=cfg.xgb_rounds, step=cfg.xgb_step, depth=cfg.xgb_depth, subsample=cfg.xgb_subsample, columns=cfg.xgb_column_share,
                       lam=cfg.xgb_lambda, min_child=cfg.xgb_min_child, patience=cfg.early_stopping_rounds, fold=1, seed=seed)
-    got = BO.boost(BO.pack(rows, cuts, 1, F.col("fold")), cuts, [spec])[0]
+    got = BO.fit(BO.pack(rows, cuts, 1, F.col("fold")), cuts, [spec])[0]
     history = [h for h in got.history if h[1] == "val"]
     return boosted_scorer(_parts(got)), _parts(got), {"rounds": len(got.trees), "fitted": got.fitted}, history
 

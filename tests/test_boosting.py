@@ -151,3 +151,25 @@ def test_rows_are_dealt_to_tasks_by_their_number(spark, monkeypatch):
     assert blocks.count() == 15 and T.held(blocks).getNumPartitions() == min(5, spark.sparkContext.defaultParallelism)
     many = B.boost(blocks, cuts, [s])[0]
     assert many.trees == one.trees and len(many.trees) == 25
+
+
+def test_whole_fits_equal_boosting_level_by_level(spark, monkeypatch):
+    """A task that holds all rows grows the same trees as the jobs over levels, and is not asked for a job a level; models that differ in what may be split share trees."""
+    df, x, _ = table(spark, 240, seed=4)
+    cuts = B.feature_cuts(df, 4)
+    specs = [B.Booster(rounds=r, depth=k, step=0.2, subsample=u, columns=1.0, kind="friedman", min_split=m, min_leaf=l, prior=True, fold=f, seed=2)
+             for r, k, u, m, l, f in ((5, 2, 0.8, 2, 1, 0), (8, 2, 0.8, 2, 1, 0), (8, 4, 0.8, 30, 2, 1), (8, 4, 0.8, 2, 1, 1), (3, 3, 1.0, 2, 1, -1))]
+    specs += [B.Booster(rounds=60, step=0.4, depth=3, patience=6, fold=0, seed=1, subsample=0.9, columns=0.5), B.Booster(rounds=7, step=0.3, fold=2, lam=0.5, min_child=2.0)]
+    blocks = B.pack(df, cuts, len(specs), F.col("fold"))
+    jobs = []
+    monkeypatch.setattr(B, "level_sums", lambda *a, own=B.level_sums: jobs.append(1) or own(*a))
+    whole = B.fit(blocks, cuts, specs)
+    assert not jobs
+    for w, b in zip(whole, B.boost(blocks, cuts, specs), strict=True):
+        assert w.trees == b.trees and w.base == b.base and w.fitted == b.fitted
+        assert [h[:2] for h in w.history] == [h[:2] for h in b.history]
+        assert [v for h in w.history for v in h[2:]] == pytest.approx([v for h in b.history for v in h[2:]])
+    few = B.fit(blocks, cuts, specs[:2], at={3, 5}, trees=False)
+    assert [h[0] for h in few[1].history if h[1] == "val"] == [3, 5] and not few[1].trees
+    monkeypatch.setattr(B, "WHOLE_BYTES", 0)
+    assert [m.trees for m in B.fit(blocks, cuts, specs, in_step=3)] == [m.trees for m in whole] and jobs
