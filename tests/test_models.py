@@ -195,6 +195,12 @@ def test_svm_query_searches_the_whole_grid():
     assert C.QUERY_CONFIG.svm_grid == C.SVM_GRID
 
 
+def test_boosting_queries_search_the_whole_grid():
+    """Two of the 324 combinations were searched before."""
+    from lifeboat.plans.models import grid_combinations
+    assert C.QUERY_CONFIG.gb_grid == C.GB_GRID and len(grid_combinations(C.QUERY_CONFIG.gb_grid)) == 324
+
+
 def _svm_rows(docs):
     return docs.where("is_train").select("id", F.col("label").cast("double").alias("label"), "features").repartition(2, "id").cache()
 
