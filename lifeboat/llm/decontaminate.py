@@ -1,9 +1,8 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-The latent space is fitted on TF-IDF passages of the corpus (a bounded sample of its documents,
-``fit_docs``, those with the smallest hash of their row number) and the benchmark's items, weighted
+The latent space is fitted on TF-IDF passages of the corpus (all passages of all documents) and the benchmark's items, weighted
 alike: a distributed randomised SVD, every product a job over the staged sparse passages whose partial
-sums are added up word range by word range in tasks. Document frequencies are counted over all documents.
+sums are added up word range by word range in tasks. Words are counted over all documents, once for all items.
 
 Every document is then retrieved against: its words are summed in the latent space in cells of 16 words,
 and each item is compared by cosine with the passages of the item's own width (so many
@@ -60,9 +59,7 @@ class Settings:
     passage: int = 64           # words of a passage that the latent space is fitted on
     rank: int = 96              # dimensions of the latent space, at most
     power: int = 1              # power iterations of the randomised SVD
-    fit_docs: int = 3_000       # documents of the corpus that the latent space is fitted on, at most
-    fit_passages: int = 4       # passages of one of them, evenly spread, at most
-    fit_words: int = 12_000     # corpus words with a latent vector besides those of the items: the most frequent of the fitted documents
+    fit_words: int = 12_000     # corpus words with a latent vector besides those of the items: those in most passages
     cosine: float = 0.7         # passages from here on are candidates
     lcs: float = 0.8            # share of the item in common order that makes a leak
     lcs_answer: float = 0.6     # share that does if the answer is there too
@@ -153,23 +150,52 @@ class Item:
         return best
 
 
-def document_frequency(docs: DataFrame, vocabulary: dict[bytes, int], text_col: str) -> tuple[int, np.ndarray]:
-    """Rows of the corpus, and in how many of them each word is."""
-    size, used = len(vocabulary), frozenset(vocabulary)
+def _lengths(n: int, passage: int) -> list[int]:
+    """Words of the passages of a text of ``n`` words: all words are in one, a last half passage or less goes with the one before."""
+    k = max(1, (n + passage // 2 - 1) // passage)
+    return [*[passage] * (k - 1), n - passage * (k - 1)] if n else []
+
+
+#: Words counted in a task before their counts are handed on.
+_COUNTED = 500_000
+
 
+def word_counts(rows: DataFrame, s: Settings) -> DataFrame:
+    """(word, docs, passages) over all documents, staged: how many of them, and of their passages, have the word; of no word: how many there are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, df = 0, Counter()
+        n, m, docs, passages = 0, 0, Counter(), Counter()
+
+        def told() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([None, *docs], pa.binary()), pa.array([n, *docs.values()], pa.int64()),
+                                               pa.array([m, *(passages[w] for w in docs)], pa.int64())], ["word", "docs", "passages"])
+
         for b in batches:
             for t in b.column(0):
+                ws, at = tokens(t.as_py()), 0
                 n += 1
-                df.update(used.intersection(tokens(t.as_py())))
-        at = sorted(vocabulary[w] for w in df)
-        by = {vocabulary[w]: c for w, c in df.items()}
-        yield pa.RecordBatch.from_arrays([pa.array([-1, *at], pa.int32()), pa.array([n, *(by[i] for i in at)], pa.int64())], ["word", "n"])
-
-    total, out = 0, np.zeros(size, np.int64)
-    rows = map_columns(docs, [text_or_empty(text_col).alias("text")], "word int, n long", run)
-    got = rows.groupBy("word").agg(F.sum("n").alias("n")).toArrow()        # one row per word of the vocabulary at most
+                docs.update(set(ws))
+                for size in _lengths(len(ws), s.passage):
+                    passages.update(set(ws[at:at + size]))
+                    at, m = at + size, m + 1
+                if len(docs) > _COUNTED:
+                    yield told()
+                    n, m, docs, passages = 0, 0, Counter(), Counter()
+        yield told()
+
+    got = map_columns(rows, [text_or_empty("text").alias("text")], "word binary, docs long, passages long", run)
+    return stage(got.groupBy("word").agg(F.sum("docs").alias("docs"), F.sum("passages").alias("passages")), "words")
+
+
+def document_frequency(counts: DataFrame, vocabulary: dict[bytes, int]) -> tuple[int, np.ndarray]:
+    """Rows of the corpus, and in how many of them each word is."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = [-1 if w is None else vocabulary.get(w, -2) for w in b.column(0).to_pylist()]
+            got = pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), b.column(1)], ["word", "n"])
+            yield got.filter(pa.array([i > -2 for i in ids], pa.bool_()))
+
+    total, out = 0, np.zeros(len(vocabulary), np.int64)
+    got = map_columns(counts, [F.col("word"), F.col("docs")], "word int, n long", run).toArrow()        # one row per word of the vocabulary at most
     for w, n in zip(got.column("word").to_pylist(), got.column("n").to_pylist(), strict=True):
         if w < 0:
             total = n
@@ -178,28 +204,28 @@ def document_frequency(docs: DataFrame, vocabulary: dict[bytes, int], text_col:
     return total, out
 
 
-def fit_sample(rows: DataFrame, s: Settings) -> DataFrame:
-    """(words, as UTF-8) of the passages of the documents the space is fitted on, staged; ``rows`` has (row_id, text)."""
-    h = F.xxhash64("row_id")
-    cut = rows.select(h.alias("h")).orderBy("h").limit(s.fit_docs).agg(F.max("h")).first()[0]      # row numbers only
+def fit_passages(rows: DataFrame, vocabulary: dict[bytes, int], idf: np.ndarray, s: Settings) -> DataFrame:
+    """(weight, ids of the words that weigh something) of all passages of all documents, staged."""
+    weighs = {w: i for w, i in vocabulary.items() if idf[i] > 0}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        get = weighs.get
         for b in batches:
-            out = []
+            parts, sizes = [np.empty(0, np.int32)], []
             for t in b.column(0):
                 ws = tokens(t.as_py())
-                starts = range(0, max(1, len(ws) - s.passage // 2), s.passage)
-                out += [ws[i:i + s.passage] for i in (starts if len(starts) <= s.fit_passages else
-                                                      np.linspace(0, starts[-1], s.fit_passages).astype(int).tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.binary()))], ["words"])
+                parts.append(np.fromiter(map(get, ws, repeat(-1)), np.int32, len(ws)))
+                sizes += _lengths(len(ws), s.passage)
+            ids = np.concatenate(parts)
+            kept = np.r_[0, np.cumsum(ids >= 0)][np.r_[0, np.cumsum(sizes, dtype=np.int64)]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(sizes))), pa.ListArray.from_arrays(pa.array(kept, pa.int32()), pa.array(ids[ids >= 0]))], ["weight", "ids"])
 
-    return stage(map_columns(rows.filter(h <= F.lit(cut)), [F.col("text")], "words array<binary>", run), "passages")
+    return stage(map_columns(rows, [F.col("text")], "weight double, ids array<int>", run), "passages")
 
 
-def corpus_words(passages: DataFrame, most: int) -> list[bytes]:
+def corpus_words(counts: DataFrame, most: int) -> list[bytes]:
     """The words in most passages, two at least; of equal counts the smaller first."""
-    counted = passages.select(F.explode(F.array_distinct(F.transform("words", lambda w: w.cast("string")))).alias("w")).groupBy("w").agg(F.count("*").alias("n")).filter("n > 1")
-    return [r["w"].encode() for r in counted.orderBy(F.desc("n"), "w").limit(most).collect()]
+    return [bytes(r["word"]) for r in counts.filter("word is not null and passages > 1").orderBy(F.desc("passages"), "word").limit(most).collect()]
 
 
 #: Words of one range whose partial sums are added up in one task, and passages multiplied at once.
@@ -426,24 +452,18 @@ def _slices(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
         yield at, held
 
 
-def _block(rows: DataFrame, passages: DataFrame, common: list[bytes], items: list[tuple], s: Settings, item_kind: str) -> DataFrame | None:
-    """Leaks of one block of items (name, words): document frequencies, the latent space, a narrow pass over the documents."""
+def _block(rows: DataFrame, counts: DataFrame, common: list[bytes], items: list[tuple], s: Settings, item_kind: str) -> DataFrame | None:
+    """Leaks of one block of items (name, words): the latent space, a narrow pass over the documents."""
     vocabulary = {w: i for i, w in enumerate(sorted({w for _, ws in items for w in ws} | set(common)))}
     known = [Item(n, [vocabulary[w] for w in ws]) for n, ws in items]
-    total, df = document_frequency(rows, vocabulary, "text")
+    total, df = document_frequency(counts, vocabulary)
     idf = np.where(df > s.common * max(total, 100), 0.0, np.log((total + 1) / (df + 1)) + 1e-3)
-
-    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids = [[vocabulary[w] for w in ws if w in vocabulary] for ws in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([1.0] * len(ids), pa.float64()), pa.array(ids, pa.list_(pa.int32()))], ["weight", "ids"])
-
     spark = rows.sparkSession
-    sampled = stage(passages.mapInArrow(index, "weight double, ids array<int>"), "sampled")
+    passages = fit_passages(rows, vocabulary, idf, s)
     n = s.passage
     cut = [item.ids[i:i + n] for item in known for i in range(0, max(1, len(item.ids) - n // 2), n // 2)]
-    weight = math.sqrt(max(1, sampled.count()) / len(cut))      # the items weigh as much as the sample
-    both = stage(sampled.unionByName(spark.createDataFrame([(weight, c) for c in cut], "weight double, ids array<int>")), "fitted")
+    weight = math.sqrt(max(1, passages.count()) / len(cut))     # the items weigh as much as the corpus
+    both = passages.unionByName(stage(spark.createDataFrame([(weight, c) for c in cut], "weight double, ids array<int>").coalesce(1), "fitted"))
     latent = idf[:, None] * randomised_svd(both, idf, s.rank, s.power)
     retriever = Retriever(vocabulary, known, df, latent, s)
     kind = rows.schema["id"].dataType.simpleString()
@@ -471,18 +491,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id_col:
     items = stage(benchmark.select(F.col(item_col).alias("item"), text_or_empty(item_text).alias("text")), "items")
     spark, item_kind = docs.sparkSession, items.schema["item"].dataType.simpleString()
     rows = numbered(docs, row, "row_id", [F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")])
-    passages = fit_sample(rows, s)
-    common = corpus_words(passages, s.fit_words)
+    counts = word_counts(rows, s)
+    common = corpus_words(counts, s.fit_words)
     found, block, size = [], [], 0
     for r in items.orderBy("item", "text").toLocalIterator():      # the query set, a block at a time
         if ws := tokens(r["text"]):
             block.append((r["item"], ws))
             size += len(ws)
         if len(block) == s.block_items or size >= s.block_words:
-            found.append(_block(rows, passages, common, block, s, item_kind))
+            found.append(_block(rows, counts, common, block, s, item_kind))
             block, size = [], 0
     if block:
-        found.append(_block(rows, passages, common, block, s, item_kind))
+        found.append(_block(rows, counts, common, block, s, item_kind))
     if not found:
         return spark.createDataFrame([], f"row_id long, id {docs.schema[id_col].dataType.simpleString()}, item {item_kind}, {FOUND}")
     return reduce(DataFrame.unionByName, found)

@@ -194,3 +194,22 @@ def test_pipeline(spark):
 def test_queries_registered():
     names = E.queries()
     assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 14)) and "pipeline" in names
+
+
+def test_the_latent_space_is_fitted_on_all_passages(spark):
+    """Four passages of 3,000 documents at most, without a last part, were all that it saw before."""
+    s = decontaminate.Settings()
+    texts = ["", "one", *(" ".join(f"w{(i * 7 + j * j) % 90}" for j in range(n)) for i, n in enumerate((31, 64, 96, 97, 700) * 700))]
+    rows = spark.createDataFrame(list(enumerate(texts)), "row_id long, text string")
+    counts = decontaminate.word_counts(rows, s)
+    told = {None if r["word"] is None else bytes(r["word"]): (r["docs"], r["passages"]) for r in counts.collect()}
+    cut = [[decontaminate.tokens(t)[sum(sizes[:i]):sum(sizes[:i + 1])] for i in range(len(sizes))]
+           for t in texts for sizes in [decontaminate._lengths(len(t.split()), s.passage)]]
+    assert all(32 < len(p) <= 96 for ps in cut if len(ps) > 1 for p in ps) and [len(ps) for ps in cut[:7]] == [0, 1, 1, 1, 1, 2, 11]
+    assert told[None] == (len(texts), sum(map(len, cut)))
+    assert told[b"w5"] == (sum(any(b"w5" in p for p in ps) for ps in cut), sum(b"w5" in p for ps in cut for p in ps))
+    vocabulary = {w: i for i, w in enumerate(sorted(w for w in told if w))}
+    idf = np.array([w != b"w7" for w in sorted(vocabulary)], float)
+    passages = decontaminate.fit_passages(rows, vocabulary, idf, s)
+    want = [[vocabulary[w] for w in p if w != b"w7"] for ps in cut for p in ps]
+    assert sorted(r["ids"] for r in passages.collect()) == sorted(want) and sum(map(len, want)) > 3_000 * 4 * s.passage / 2
